@@ -26,8 +26,8 @@ def merge_ranked(df: DataFrame, keys: list[str], carried: list[str], rank: str =
     """Merges elements several mappings contribute to: properties in rank order, other
     columns from the highest rank.  Callers guarantee one row per key and rank, so a group
     is never larger than the number of mappings."""
-    entry = F.struct(rank, "props")
-    ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["props"])
+    entry = F.struct(rank, F.map_entries("props").alias("entries"))
+    ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.map_from_entries(e["entries"]))
     props = F.aggregate(ordered, F.create_map().cast(PROPS_TYPE), merged_props)
     return df.groupBy(*keys).agg(
         *[F.max_by(c, rank).alias(c) for c in carried],
