@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowgraft.operators.properties import PROPS_TYPE, merged_props
-from rowgraft.operators.skew import durable, is_small, lookup_join, salted_join
+from rowgraft.operators.skew import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    durable,
+    is_small,
+    lookup_join,
+    measured,
+    salted_join,
+)
 
 NODE_SCHEMA = f"id string, label string, props {PROPS_TYPE}"
 EDGE_SCHEMA = f"id string, label string, from_id string, to_id string, props {PROPS_TYPE}"
@@ -125,6 +133,15 @@ def missing_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return ends.distinct().join(nodes.select("id"), "id", "left_anti")
 
 
+def unclaimed(gone: DataFrame, claims: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the keys one owner gives up, those no owner still claims."""
+    gone = gone.select(*keys).distinct()
+    claims = claims.select(*keys)
+    if is_small(gone):
+        claims = claims.join(F.broadcast(gone), keys, "left_semi")
+    return gone.join(claims, keys, "left_anti")
+
+
 @dataclass(frozen=True)
 class Absent:
     """Materialised missing endpoint ids and what their size allows."""
@@ -136,8 +153,8 @@ class Absent:
 
 def absent_endpoints(edges: DataFrame, nodes: DataFrame) -> Absent:
     ids = durable(missing_endpoints(edges, nodes))
-    empty = ids.isEmpty()
-    return Absent(ids, empty, empty or is_small(ids))
+    rows, size = measured(ids)
+    return Absent(ids, rows == 0, rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES)
 
 
 def marked_edges(edges: DataFrame, absent: Absent) -> DataFrame:

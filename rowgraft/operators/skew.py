@@ -35,11 +35,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(named)
 
 
-def is_small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the frame may be broadcast.  Measuring stops right after ``most`` rows."""
+def measured(df: DataFrame, most: int = BROADCAST_ROWS) -> tuple[int, int]:
+    """Rows and bytes of text, measured no further than one row past ``most``."""
     size = F.octet_length(F.to_json(F.struct("*")))
     rows, total = df.limit(most + 1).select(size.alias("b")).agg(F.count(F.lit(1)), F.sum("b")).first()
-    return rows <= most and (total or 0) <= most_bytes
+    return rows, total or 0
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame may be broadcast."""
+    rows, total = measured(df, most)
+    return rows <= most and total <= most_bytes
 
 
 def heavy_keys(df: DataFrame, keys: list[str], slots: int = HEAVY_SLOTS) -> DataFrame:
