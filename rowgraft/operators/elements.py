@@ -11,7 +11,7 @@ from rowgraft.functions.text import truthy
 from rowgraft.operators.collapse import collapse_rows
 from rowgraft.operators.identity import element_id, endpoint_id, row_fingerprint
 from rowgraft.operators.properties import final_attributes, property_map, with_values
-from rowgraft.specs import EDGE, MappingSpec
+from rowgraft.specs import EDGE, AttrSpec, MappingSpec
 
 NO_ID, NO_ENDPOINT = "no_id", "no_endpoint"
 ELEMENT_COLUMNS = [
@@ -33,6 +33,16 @@ def delete_flag(df: DataFrame, spec: MappingSpec) -> Column:
     return truthy(flag, df.select(flag.alias("f")).schema["f"].dataType)
 
 
+def _fixed_values(spec: MappingSpec, attributes: list[AttrSpec]) -> set[str]:
+    """Value columns that cannot differ within one id: everything the content id covers.
+
+    Parts of a composite id are not among them, as 'a_b','c' and 'a','b_c' give one id.
+    """
+    if spec.id_expr or spec.id_attributes:
+        return set()
+    return {f"__v{i}" for i in range(len(attributes))}
+
+
 def elements(
     df: DataFrame,
     spec: MappingSpec,
@@ -95,7 +105,9 @@ def elements(
         keys = ["id", "from_id", "to_id"] if edge or may_skip else ["id"]
         order = F.struct("__order", "__tie")
         newest = [F.max_by("row_hash", order).alias("row_hash"), F.max("flagged").alias("flagged")]
-        found = collapse_rows(rows, keys, values, order, newest)
+        fixed = _fixed_values(spec, attributes)
+        newest += [F.max(v).alias(v) for v in values if v in fixed]
+        found = collapse_rows(rows, keys, [v for v in values if v not in fixed], order, newest)
         if "from_id" not in keys:
             found = found.withColumns({"from_id": F.lit(""), "to_id": F.lit("")})
 

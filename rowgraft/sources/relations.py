@@ -23,6 +23,16 @@ def normalised(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def spread(df: DataFrame, least_rows: int = 100_000) -> DataFrame:
+    """File rows spread over the cores when the files come in too few pieces to keep them
+    busy, such as one row group.  Large inputs have more splits than cores and are left
+    alone, so nothing big is ever moved for this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or df.count() < least_rows:
+        return df
+    return df.repartition(cores)
+
+
 def read_relation(
     spark: SparkSession, source: SourceSpec, relations: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
@@ -38,7 +48,7 @@ def read_relation(
     elif source.query:
         df = spark.sql(source.query, **{k: v for k, v in relations.items() if "{" + k + "}" in source.query})
     elif source.path:
-        df = spark.read.format(source.format).options(**dict(source.options)).load(source.path)
+        df = spread(spark.read.format(source.format).options(**dict(source.options)).load(source.path))
     elif source.relation in relations:
         df = relations[source.relation]
     elif source.relation:

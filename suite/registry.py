@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowgraft.operators.skew import ensure_checkpoint_dir
-from rowgraft.sources.relations import normalised
+from rowgraft.sources.relations import normalised, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,8 +24,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return normalised(spark.read.parquet(f"{sf}/{name}.parquet"))
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _TABLES:
+        _TABLES[key] = spread(normalised(spark.read.parquet(f"{sf}/{name}.parquet")))
+    return _TABLES[key]
 
 
 def derived(spark: SparkSession, sf: str, sql: str, *names: str) -> DataFrame:
