@@ -18,7 +18,7 @@ from rowgraft.operators.skew import (
     is_small,
     lookup_join,
     measured,
-    salted_join,
+    sized_join,
 )
 
 NODE_SCHEMA = f"id string, label string, props {PROPS_TYPE}"
@@ -102,10 +102,7 @@ def incident(edges: DataFrame, ids: DataFrame, small: bool | None = None) -> Dat
         small = is_small(gone)
     for side, other in (("from", "to"), ("to", "from")):
         hit = gone.select(F.col("id").alias(f"{side}_id"), F.lit(True).alias(f"__{side}"))
-        if small:
-            edges = edges.join(F.broadcast(hit), f"{side}_id", "left")
-        else:
-            edges = salted_join(edges, hit, [f"{side}_id"], "left", ["id", f"{other}_id"])
+        edges = sized_join(edges, hit, [f"{side}_id"], "left", ["id", f"{other}_id"], small)
     return edges.where("__from or __to").drop("__from", "__to")
 
 
@@ -117,10 +114,7 @@ def delete_edges(edges: DataFrame, keyed: DataFrame, keys: list[str] | None = No
 
 
 def _without(df: DataFrame, ids: DataFrame, column: str, spread_by: list[str], small: bool) -> DataFrame:
-    gone = ids.select(F.col("id").alias(column))
-    if small:
-        return df.join(F.broadcast(gone), column, "left_anti")
-    return salted_join(df, gone, [column], "left_anti", spread_by)
+    return sized_join(df, ids.select(F.col("id").alias(column)), [column], "left_anti", spread_by, small)
 
 
 def missing_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -167,10 +161,7 @@ def marked_edges(edges: DataFrame, absent: Absent) -> DataFrame:
         return edges.withColumn("missing", F.lit(None).cast("string"))
     for side, other in (("from", "to"), ("to", "from")):
         ids = absent.ids.select(F.col("id").alias(f"{side}_id"), F.lit(True).alias(f"__no_{side}"))
-        if absent.small:
-            edges = edges.join(F.broadcast(ids), f"{side}_id", "left")
-        else:
-            edges = salted_join(edges, ids, [f"{side}_id"], "left", ["id", f"{other}_id"])
+        edges = sized_join(edges, ids, [f"{side}_id"], "left", ["id", f"{other}_id"], absent.small)
     lost_from, lost_to = F.coalesce("__no_from", F.lit(False)), F.coalesce("__no_to", F.lit(False))
     which = F.when(lost_from & lost_to, F.lit("both")).when(lost_from, F.lit("from")).when(lost_to, F.lit("to"))
     return edges.withColumn("missing", which).drop("__no_from", "__no_to")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,12 @@ SALTS = 64
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The frame materialised in the session's checkpoint folder, which outlives executors."""
+    """The frame as a table in the session's checkpoint folder: it outlives executors, cuts
+    the lineage and can be read by column."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -94,6 +99,13 @@ def lookup_join(
 ) -> DataFrame:
     """Joins a row-sized frame with a usually small one: broadcast when its counted size
     allows, otherwise a salted join."""
-    if is_small(right, most):
+    return sized_join(left, right, keys, how, spread_by, is_small(right, most))
+
+
+def sized_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, spread_by: list[str], small: bool
+) -> DataFrame:
+    """The same for a right side that has been measured already."""
+    if small:
         return left.join(F.broadcast(right), keys, how)
     return salted_join(left, right, keys, how, spread_by)
