@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowgraft.operators.merge import EDGE_SCHEMA, NODE_SCHEMA
 from rowgraft.operators.skew import lookup_join
+from rowgraft.session import small_frame
 from rowgraft.specs import NODE, MappingSpec, TagSpec, in_load_order
 
 # Labels and the id infix of tag elements.
@@ -80,8 +81,8 @@ def spec_tag_nodes(spark: SparkSession, specs: list[MappingSpec]) -> DataFrame:
         (t.tag_id, TAG_LABEL, {"name": t.name, "category": t.category, "display_name": t.display_name or t.name})
         for t in first.values()
     ]
-    return spark.createDataFrame(rows, NODE_SCHEMA)
+    return small_frame(spark, rows, NODE_SCHEMA)
 
 
 def no_edges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], EDGE_SCHEMA)
+    return small_frame(spark, [], EDGE_SCHEMA)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,3 +33,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
     )
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of a few driver rows as a local relation, without a job of its own."""
+    fields = StructType.fromDDL(schema)
+    records = [
+        {f.name: list(v.items()) if isinstance(v, dict) else v for f, v in zip(fields, row)} for row in rows
+    ]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(fields)), fields)
