@@ -87,7 +87,7 @@ def elements(
                 "from_id": F.coalesce("__reason", "from_id"),
                 "to_id": F.when(F.col("__reason").isNull(), F.col("to_id")),
             }
-        )
+        ).drop("__reason")
 
     if spec.unique_ids:
         found = rows.withColumn("n_rows", F.lit(1).cast("long"))

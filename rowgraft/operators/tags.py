@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgraft.operators.merge import EDGE_SCHEMA, NODE_SCHEMA
+from rowgraft.operators.merge import NODE_SCHEMA
 from rowgraft.operators.skew import lookup_join
 from rowgraft.session import small_frame
 from rowgraft.specs import NODE, MappingSpec, TagSpec, in_load_order
@@ -83,6 +83,3 @@ def spec_tag_nodes(spark: SparkSession, specs: list[MappingSpec]) -> DataFrame:
     ]
     return small_frame(spark, rows, NODE_SCHEMA)
 
-
-def no_edges(spark: SparkSession) -> DataFrame:
-    return small_frame(spark, [], EDGE_SCHEMA)
