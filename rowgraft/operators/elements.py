@@ -66,8 +66,9 @@ def elements(
         own.alias("id"),
         start.alias("from_id"),
         end.alias("to_id"),
-        row_fingerprint(rows, spec.fingerprint_columns, separated).alias("row_hash"),
-        row_fingerprint(rows, mapped or spec.fingerprint_columns).alias("__tie"),
+        # Digests travel as bytes, half as long as text.
+        F.unhex(row_fingerprint(rows, spec.fingerprint_columns, separated)).alias("row_hash"),
+        F.substring(F.unhex(row_fingerprint(rows, mapped or spec.fingerprint_columns)), 1, 16).alias("__tie"),
         delete_flag(rows, spec).alias("flagged"),
         F.struct(*order, F.lit(0)).alias("__order"),
         *values,
@@ -96,7 +97,7 @@ def elements(
             empty = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ["__tie", "__order", *values]]
             folded = skipped.groupBy("from_id").agg(F.count(F.lit(1)).alias("n_rows")).select(
                 F.lit(None).cast("string").alias("id"), "from_id", F.lit(None).cast("string").alias("to_id"),
-                F.lit(None).cast("string").alias("row_hash"), F.lit(False).alias("flagged"), "n_rows", *empty,
+                F.lit(None).cast("binary").alias("row_hash"), F.lit(False).alias("flagged"), "n_rows", *empty,
             )
             found = found.where(F.col("id").isNotNull()).unionByName(folded)
     else:
@@ -120,7 +121,7 @@ def elements(
         F.when(~skipped, F.col("from_id")).alias("from_id"),
         "to_id",
         F.when(~skipped, property_map(attributes, [F.col(v) for v in values])).alias("props"),
-        F.when(~skipped, F.col("row_hash")).alias("row_hash"),
+        F.when(~skipped, F.lower(F.hex("row_hash"))).alias("row_hash"),
         "flagged",
         F.when(skipped, F.col("from_id")).alias("reason"),
         "n_rows",
