@@ -12,6 +12,8 @@ from rowgraft.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(4, 2, "4g")
     session.sparkContext.setLogLevel("ERROR")
+    # Hundreds of tiny plans: compiling each costs more than running it (check.py runs them compiled).
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
