@@ -50,6 +50,15 @@ def test_gml_with_parallel_edges_and_odd_text(spark, graph, tmp_path):
     assert '    key "e2"\n    entity_label "REFERENCES"\n    own_id "e2"\n    t "&#233;&#34;&#38;&#128512;&#10;"\n' in text
 
 
+def test_gml_keeps_its_own_names(spark, tmp_path):
+    nodes = small_frame(spark, [("a", "N", {"id": "x", "label": "y", "entity_label": "z", "key": "kept"})], merge.NODE_SCHEMA)
+    edges = small_frame(spark, [("e", "E", "a", "a", {"source": "x", "edge_id": "y", "id": "kept"})], merge.EDGE_SCHEMA)
+    export_graph("gml", nodes, edges, str(tmp_path / "g"))
+    text = joined(tmp_path / "g")
+    assert '    label "a"\n    entity_label "N"\n    key "kept"\n  ]' in text
+    assert '    source 0\n    target 0\n    entity_label "E"\n    edge_id "e"\n    id "kept"\n  ]' in text
+
+
 def test_graphml(spark, graph, tmp_path):
     nodes, edges = graph
     odd = spark.createDataFrame([('q"<1>', "A&B", {"name": "<x> & y"})], merge.NODE_SCHEMA)
