@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 
 from rowgraft.operators.skew import durable, ensure_checkpoint_dir
 
-__all__ = ["Joined", "documents", "durable", "ensure_checkpoint_dir", "free_name", "numbered", "pieces_of", "table", "text_bytes"]
+__all__ = [
+    "NOT_BLANK", "WORD", "Joined", "crc_of", "documents", "durable", "free_name", "numbered", "pieces_of", "table", "text_bytes", "words_of", "written",
+]
 
 #: Bytes of text that a task turns into arrays at a time.
 CHUNK = 2 << 20
@@ -73,3 +76,29 @@ def pieces_of(texts: list, size=len, most: int = CHUNK) -> Iterator[tuple[int, i
         held += size(x)
     if first < len(texts):
         yield first, len(texts)
+
+
+def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
+    """The frame as a table in the session's checkpoint folder, packed harder than ``durable``'s."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of words: all but ASCII white space; ASCII letters and digits and all beyond ASCII.
+NOT_BLANK = np.array([i not in (0x20, *range(0x09, 0x0E)) for i in range(256)])
+WORD = np.array([0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80 for i in range(256)])
+
+
+def words_of(texts: list[bytes], inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of the texts with A-Z lowered (runs of bytes that are ``inside``), in order, and
+    their number per text.  Nothing is done word by word."""
+    joined = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
+    within = inside[joined]
+    turns = np.flatnonzero(np.diff(within, prepend=False, append=False)).reshape(-1, 2)
+    offsets = np.zeros(len(turns) + 1, np.int32)
+    np.cumsum(turns[:, 1] - turns[:, 0], out=offsets[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(turns), [None, pa.py_buffer(offsets), pa.py_buffer(joined[within])])
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    return words, np.diff(np.searchsorted(turns[:, 0], begin))

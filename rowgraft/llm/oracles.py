@@ -40,4 +40,21 @@ with known as (
     select sha256({_canonical("text")}) as digest, min(license_id) as license_id from (values {_KNOWN}) as v(license_id, text) group by 1
 )
 select doc_id, d.digest, license_id from (select doc_id, sha256({_canonical("text")}) as digest from documents) d left join known using (digest)""",
+    "op4_benchmark_index": """
+with words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents
+), item_words as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark
+), windows as (
+    select distinct item_id, array_to_string(w[k:k + 9], ' ') as phrase, least(10, len(w)) as size
+    from (select item_id, w, unnest(range(1, greatest(2, len(w) - 8))) as k from item_words where len(w) > 0)
+), sizes as (select distinct size from windows),
+found as (
+    select distinct doc_id, k, x.size, item_id
+    from (select doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') as phrase from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as k from words, sizes)) x
+    join windows y on x.phrase = y.phrase and x.size = y.size
+), hits as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + size)) as p from found) group by 1),
+items as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as names from (select distinct doc_id, item_id from found) group by 1)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hits using (doc_id) left join items using (doc_id)""",
 }

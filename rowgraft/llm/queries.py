@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgraft.llm import licenses, line_dedup, sharding, simhash
-from rowgraft.llm.common import documents
+from rowgraft.llm import decontamination, licenses, line_dedup, sharding, simhash
+from rowgraft.llm.common import documents, table
 from rowgraft.llm.oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of the benchmark found in every document."""
+    found = decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
