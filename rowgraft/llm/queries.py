@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgraft.llm import decontamination, licenses, line_dedup, sharding, simhash
-from rowgraft.llm.common import documents, table
+from rowgraft.llm import decontamination, licenses, line_dedup, repeats, sharding, simhash
+from rowgraft.llm.common import documents, numbered, table
 from rowgraft.llm.oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,13 @@ def op4_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 400-byte strings."""
+    docs = numbered(documents(spark, sf_dir).select("doc_id", "text"))
+    cut = repeats.without_repeats(docs).select(
+        "rid", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+    return docs.select("rid", "doc_id").join(cut, "rid").drop("rid")
