@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgraft.llm import decontamination, licenses, line_dedup, repeats, sharding, simhash
-from rowgraft.llm.common import documents, numbered, table
+from rowgraft.llm import decontamination, language_id, licenses, line_dedup, pieces, ppm, repeats, sharding, simhash
+from rowgraft.llm.common import crc_of, documents, numbered, table
 from rowgraft.llm.oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,28 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rid", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
     return docs.select("rid", "doc_id").join(cut, "rid").drop("rid")
+
+
+@query
+def op2_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document under PPM and under word counts, both from four fifths of them."""
+    held_out = crc_of("doc_id") % 5 == 1
+    found = ppm.lm_scores(documents(spark, sf_dir).select("doc_id", "text"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document and whether decoding gives the text back."""
+    found = pieces.decoded(pieces.encoded(documents(spark, sf_dir).select("doc_id", "text")))
+    same = F.col("decoded").eqNullSafe(F.encode("text", "UTF-8"))
+    return found.select("doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), "pieces", same.alias("lossless"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from three quarters of them."""
+    held_out = crc_of("doc_id") % 4 == 2
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    learned = language_id.learn(docs.where(~held_out))
+    return language_id.with_language(docs.select("doc_id", "text"), learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

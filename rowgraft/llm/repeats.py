@@ -30,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import CHUNK, numbered, pieces_of, text_bytes, written
+from rowgraft.llm.common import CHUNK, pieces_of, text_bytes, written
 
 LENGTH = 400
 GRAM = 64
 STEP = 32
+#: A key is heavy when it has more than one in so many runs.
+HEAVY = 1000
 _PLACES = np.uint64((1 << 24) - 1)
 
 
@@ -161,20 +163,32 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             yield _units(np.full(len(i), rid), at, np.ones(len(i)), np.zeros(len(i)), alone[i] != 0, g, c)
 
 
-def _sorted_out(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _matching(rows: DataFrame, keys: DataFrame, on: list[str], heavy: int) -> DataFrame:
+    """The rows whose key is among ``keys`` (key columns and n, the rows a key has).
+
+    Keys with over ``heavy`` rows are few, as ``heavy`` is a share of all rows; they are
+    broadcast, and their rows go round the exchange that deals the others by key.
+    """
+    often = F.broadcast(keys.where(F.col("n") > heavy).select(*on, F.lit(True).alias("often")))
+    salt = F.when(F.col("often"), F.xxhash64(*rows.columns)).otherwise(F.lit(0))
+    rare = keys.where(F.col("n") <= heavy).select(*on, F.lit(0).cast("long").alias("salt"), F.lit(True).alias("rare"))
+    return rows.join(often, on, "left").withColumn("salt", salt).join(rare, [*on, "salt"], "left").where("often or rare").select(*rows.columns)
+
+
+def _sorted_out(units: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
     """One pass: (runs found to be repeated, runs that need a finer pass).
 
     Of a context that occurs twice one run goes on, not alone, for others to be compared with."""
     contexts = units.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "first", "windows", "at")).alias("one"), F.max("alone").alias("alone"))
     alone = F.expr("n = 1 and alone")
-    grams = contexts.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.max(alone).alias("open")).where("m > 1 and open").select("g")
-    left = contexts.join(grams, "g", "left_semi").select("one.*", alone.alias("alone"))
-    return _repeated(units, contexts), left
+    grams = contexts.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max(alone).alias("open")).where("n > 1 and open")
+    left = _matching(contexts.select("g", "one", alone.alias("alone")), grams, ["g"], heavy).select("one.*", "alone")
+    return _repeated(units, heavy), left
 
 
-def _repeated(units: DataFrame, contexts: DataFrame) -> DataFrame:
-    twice = contexts.where("n > 1").select("g", "c")
-    return units.where("alone").join(twice, ["g", "c"], "left_semi").select("rid", "first", "windows")
+def _repeated(units: DataFrame, heavy: int) -> DataFrame:
+    twice = units.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return _matching(units.where("alone").select("g", "c", "rid", "first", "windows"), twice, ["g", "c"], heavy).select("rid", "first", "windows")
 
 
 def _meeting(texts: DataFrame, left: DataFrame) -> DataFrame:
@@ -211,15 +225,15 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
     texts.  An empty table gives no rows.  Other columns are not read.
     """
     texts = docs.select("rid", F.col(text_column).alias("text"))
-    units = written(texts.mapInArrow(lambda b: _contexts(b, length, gram), UNIT))
-    done, left = _sorted_out(units)
+    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram), UNIT))
+    heavy = every.count() // HEAVY + 1
+    units = written(_matching(every, every.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
+    done, left = _sorted_out(units, heavy)
     steps = _meeting(texts, left).mapInArrow(lambda b: _steps(b, length, step), UNIT)
-    done_2, left_2 = _sorted_out(steps)
+    done_2, left_2 = _sorted_out(steps, heavy)
     windows = _meeting(texts, left_2).mapInArrow(lambda b: _windows(b, length), UNIT)
-    done_3 = _repeated(windows, windows.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n")))
+    done_3 = _repeated(windows, heavy)
     runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows")).alias("runs"))
     met = texts.join(runs, "rid", "left")
     return met.mapInArrow(lambda b: _cut(b, length), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
-
-__all__ = ["LENGTH", "numbered", "without_repeats"]
