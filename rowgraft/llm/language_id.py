@@ -2,7 +2,8 @@
 
 Every language has a probability per piece of a fixed public vocabulary.  A text's probability
 in a language is the sum over all its segmentations, by the forward algorithm.  The piece
-probabilities are learned from all labelled texts by one step of expectation maximisation:
+probabilities are learned from a bounded sample of labelled texts (``per_language`` of each
+language, those with the least hash) by one step of expectation maximisation:
 the expected number of times each piece is used, over all segmentations weighted by a common
 prior, summed per language.  Only (language, piece) sums travel.
 """
@@ -13,15 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowgraft.llm.common import free_name, pieces_of, text_bytes
-from rowgraft.llm.lattice import CHUNK, MODEL, Lattice, Segments, Vocabulary, load_vocabulary, zipf
+from rowgraft.llm.lattice import CHUNK, LEAST, MODEL, Lattice, Segments, Vocabulary, load_vocabulary, zipf
 
 UNKNOWN = "und"
 #: Added to every expected count.
 SMOOTHING = 0.1
+#: Texts of each language to learn from.
+PER_LANGUAGE = 1000
 
 
 def _expected(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
@@ -32,7 +36,7 @@ def _expected(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iter
         for a, b in pieces_of(texts, most=CHUNK):
             cut = Segments(texts[a:b])
             lattice = Lattice(vocabulary, cut.distinct)
-            ahead, behind = lattice.forward(prior), lattice.backward(prior)
+            ahead, behind = lattice.forward(prior[None])[0], lattice.backward(prior[None])[0]
             owner = lattice.owner[lattice.start]
             used = np.exp(ahead[lattice.start] + prior[lattice.piece] + behind[lattice.end] - behind[lattice.base][owner])
             for lang in sorted(set(langs[a:b])):
@@ -45,31 +49,57 @@ def _expected(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(piece)), pa.array(piece), pa.array(found[piece])], ["lang", "piece", "uses"])
 
 
-def learn(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text", model: str = MODEL) -> tuple[list[str], np.ndarray]:
-    """(languages in order, log probability by piece and language) from all rows with a language.
+def learn(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text", per_language: int = PER_LANGUAGE, model: str = MODEL) -> tuple[list[str], np.ndarray]:
+    """(languages in order, log probability by language and piece).
+
+    The rows with a language and a text are sampled down to ``per_language`` of each language.
+    An empty table, or one without languages, teaches nothing.
 
     The sums per language and piece reach the driver: at most the vocabulary's size for each language.
     """
     vocabulary = load_vocabulary(model)
-    own = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where("lang is not null")
-    rows = own.mapInArrow(lambda b: _expected(b, vocabulary), "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).toPandas()
+    own = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where("lang is not null and text is not null")
+    own = own.withColumn("nth", F.expr("row_number() over (partition by lang order by xxhash64(text))")).where(F.col("nth") <= per_language)
+    rows = own.select("lang", "text").mapInArrow(lambda b: _expected(b, vocabulary), "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).toPandas()
     langs = sorted(rows["lang"].unique())
-    counts = np.full((vocabulary.size, len(langs)), SMOOTHING)
+    counts = np.full((len(langs), vocabulary.size), SMOOTHING)
     for k, lang in enumerate(langs):
         of = rows[rows["lang"] == lang]
-        counts[of["piece"].to_numpy(), k] += of["uses"].to_numpy()
-    return langs, np.log(counts / counts.sum(axis=0))
-
-
-def likelihoods(texts: list[bytes], vocabulary: Vocabulary, weight: np.ndarray) -> np.ndarray:
-    """log probability of each text in each language."""
-    found = []
-    for a, b in pieces_of(texts, most=CHUNK):
-        cut = Segments(texts[a:b])
-        lattice = Lattice(vocabulary, cut.distinct)
-        each = lattice.forward(weight)[lattice.last]
-        found.append(np.add.reduceat(each[cut.code], cut.first, axis=0))
-    return np.concatenate(found) if found else np.zeros((0, weight.shape[1]))
+        counts[k, of["piece"].to_numpy()] += of["uses"].to_numpy()
+    return langs, np.maximum(np.log(counts / counts.sum(axis=1, keepdims=True)), LEAST)
+
+
+class Likelihoods:
+    """log probability of texts in each language; segments met before are looked up."""
+
+    #: Distinct segments that are kept.
+    MOST = 1 << 20
+
+    def __init__(self, vocabulary: Vocabulary, weight: np.ndarray):
+        self.vocabulary, self.weight = vocabulary, weight
+        self.known, self.value = pa.array([], pa.binary()), np.zeros((0, len(weight)))
+
+    def of_segments(self, distinct: pa.Array) -> np.ndarray:
+        at = pc.fill_null(pc.index_in(distinct, self.known), -1).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(at < 0)
+        found = np.empty((len(distinct), len(self.weight)))
+        found[at >= 0] = self.value[at[at >= 0]]
+        fresh = distinct.take(pa.array(new))
+        lattice = Lattice(self.vocabulary, fresh)
+        found[new] = lattice.forward(self.weight)[:, lattice.last].T
+        if len(self.known) + len(new) > self.MOST:
+            self.known, self.value = fresh, found[new]
+        else:
+            self.known, self.value = pa.concat_arrays([self.known, fresh]), np.concatenate([self.value, found[new]])
+        return found
+
+    def of(self, texts: list[bytes]) -> np.ndarray:
+        found = [np.zeros((0, len(self.weight)))]
+        for a, b in pieces_of(texts, most=CHUNK):
+            cut = Segments(texts[a:b])
+            each = self.of_segments(cut.distinct)
+            found.append(np.stack([np.add.reduceat(e[cut.code], cut.first) for e in each.T], 1))
+        return np.concatenate(found)
 
 
 def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_column: str = "text", model: str = MODEL) -> DataFrame:
@@ -85,13 +115,14 @@ def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_c
     pred, score = free_name(docs, "lang_pred"), free_name(docs, "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_of = Likelihoods(vocabulary, weight)
         for batch in batches:
             names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
             texts = text_bytes(batch[text_column])
             told = np.array([any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in texts], bool)
             at = np.flatnonzero(told)
             if langs and len(at):
-                seen = likelihoods([texts[i] for i in at], vocabulary, weight)
+                seen = model_of.of([texts[i] for i in at])
                 best = seen.argmax(axis=1)
                 share = 1 / np.exp(seen - seen.max(axis=1, keepdims=True)).sum(axis=1)
                 for i, k, s in zip(at.tolist(), best.tolist(), share.tolist()):

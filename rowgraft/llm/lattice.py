@@ -19,15 +19,21 @@ import sentencepiece
 #: Where the public tokenizers' files lie; a parameter of every operator that reads one.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose segments are laid out together.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 BLANK = 0x20
+#: Stands for the end of a segment among bytes.
+NONE = 256
+#: Bytes of a segment whose probability can be multiplied out: pieces are likelier than 1e-9.
+SHORT = 32
+LEAST = np.log(1e-9)
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces as bytes with blanks for the word mark, and a trie of them as a hash table of edges.
 
-    ``bytes_of[i]`` is what id i stands for (empty: a control id); ``byte_id[b]`` is the id used
+    ``first`` and ``second`` hold the first two levels of the trie densely; node 0 is its root and,
+    as no edge leads there, stands for no node.  ``bytes_of[i]`` is what id i stands for (empty: a control id); ``byte_id[b]`` is the id used
     for byte b where no piece is the byte itself.
     """
 
@@ -37,6 +43,8 @@ class Vocabulary:
     edge: np.ndarray
     child: np.ndarray
     slots: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
     piece_at: np.ndarray
     longest: int
 
@@ -45,17 +53,17 @@ class Vocabulary:
         return len(self.bytes_of)
 
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        """Trie nodes one byte on; -1 where there is none."""
-        key = node * 256 + byte
+        """Trie nodes one byte on; 0 where there is none."""
+        key = node.astype(np.int64) * 512 + byte
         mask = len(self.slots) - 1
         slot = _mixed(key) & mask
         at = self.slots[slot]
-        wrong = np.flatnonzero((at >= 0) & (self.edge[at] != key))
-        while len(wrong):
+        wrong = np.flatnonzero(self.edge[at] != key)
+        while len(wrong := wrong[at[wrong] >= 0]):
             slot[wrong] = (slot[wrong] + 1) & mask
             at[wrong] = self.slots[slot[wrong]]
-            wrong = wrong[(at[wrong] >= 0) & (self.edge[at[wrong]] != key[wrong])]
-        return np.where(at >= 0, self.child[at], -1)
+            wrong = wrong[self.edge[at[wrong]] != key[wrong]]
+        return np.where(at >= 0, self.child[at], 0)
 
 
 def _mixed(key: np.ndarray) -> np.ndarray:
@@ -68,6 +76,8 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     n = model.get_piece_size()
     bytes_of, byte_id, edges, piece_at = [b""] * n, np.full(256, -1), {}, {}
     rank = np.arange(n)
+    for b in range(256):  # so that the first level's nodes have the lowest numbers
+        edges[b] = b + 1
     for i in range(n):
         if model.is_byte(i):
             value = int(model.id_to_piece(i)[3:5], 16)
@@ -76,9 +86,13 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
             bytes_of[i] = model.id_to_piece(i).replace("▁", " ").encode()
             node = 0
             for b in bytes_of[i]:
-                node = edges.setdefault(node * 256 + b, len(edges) + 1)
+                node = edges.setdefault(node * 512 + b, len(edges) + 1)
             piece_at.setdefault(node, i)
-    edge, child = np.array(list(edges), np.int64), np.array(list(edges.values()), np.int64)
+    edge, child = np.array(list(edges), np.int64), np.array(list(edges.values()), np.int32)
+    first = np.zeros(NONE + 1, np.int32)
+    top = edge < 512
+    first[edge[top]] = child[top]
+    second = np.zeros((int(first.max()) + 1, NONE + 1), np.int32)
     slots = np.full(1 << int(len(edge) * 3).bit_length(), -1, np.int32)
     todo, slot = np.arange(len(edge), dtype=np.int32), _mixed(edge) & (len(slots) - 1)
     while len(todo):
@@ -89,7 +103,9 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     at = np.full(len(edge) + 1, -1, np.int32)
     for node, i in piece_at.items():
         at[node] = i
-    return Vocabulary(bytes_of, rank, byte_id, edge, child, slots, at, max(map(len, bytes_of)))
+    under = np.isin(edge // 512, first[first > 0])
+    second[edge[under] // 512, edge[under] % 512] = child[under]
+    return Vocabulary(bytes_of, rank, byte_id, edge, child, slots, first, second, at, max(map(len, bytes_of)))
 
 
 def zipf(vocabulary: Vocabulary) -> np.ndarray:
@@ -129,64 +145,83 @@ class Lattice:
 
     def __init__(self, vocabulary: Vocabulary, segments: pa.Array):
         size = pc.binary_length(segments).to_numpy().astype(np.int64)
-        data = np.frombuffer(b"".join(segments.to_pylist()), np.uint8).astype(np.int64)
-        owner = np.repeat(np.arange(len(size)), size)
         self.base = np.cumsum(size + 1) - size - 1
-        self.size, self.nodes = size, int((size + 1).sum())
-        stop = np.cumsum(size)[owner]
-        place = np.arange(len(data))
-        node_of = place + owner  # node before each byte
+        self.size, self.nodes, self.last = size, int((size + 1).sum()), self.base + size
+        self.owner = np.repeat(np.arange(len(size), dtype=np.int32), size + 1)
+        # The byte after each node; the last node of a segment has none, which no piece goes on with.
+        byte, inside = np.full(self.nodes, NONE, np.int32), np.ones(self.nodes, bool)
+        inside[self.last] = False
+        byte[inside] = np.frombuffer(b"".join(segments.to_pylist()), np.uint8)
+        begin = np.arange(self.nodes, dtype=np.int32)
+        state = vocabulary.first[byte]
+        bare = inside & (vocabulary.piece_at[state] < 0)
         start, end, piece = [], [], []
-        at, state, begin = place, np.zeros(len(data), np.int64), place
-        single = np.zeros(len(data), bool)
-        for k in range(vocabulary.longest):
-            state = vocabulary.step(state, data[at])
-            live = state >= 0
-            state, at, begin = state[live], at[live], begin[live]
+        for k in range(1, vocabulary.longest + 1):
+            live = state > 0
+            state, begin = state[live], begin[live]
+            if not len(begin):
+                break
             found = vocabulary.piece_at[state]
             fits = found >= 0
-            if k == 0:
-                single[begin[fits]] = True
-            start.append(node_of[begin[fits]])
-            end.append(node_of[begin[fits]] + k + 1)
-            piece.append(found[fits].astype(np.int64))
-            at = at + 1
-            more = at < stop[begin]
-            at, state, begin = at[more], state[more], begin[more]
-            if not len(at):
-                break
-        bare = np.flatnonzero(~single)
-        start.append(node_of[bare])
-        end.append(node_of[bare] + 1)
-        piece.append(vocabulary.byte_id[data[bare]])
+            from_ = begin[fits]
+            start.append(from_)
+            end.append(from_ + np.int32(k))
+            piece.append(found[fits])
+            state = vocabulary.second[state, byte[begin + 1]] if k == 1 else vocabulary.step(state, byte[begin + k])
+        at = np.flatnonzero(bare).astype(np.int32)
+        start.append(at)
+        end.append(at + np.int32(1))
+        piece.append(vocabulary.byte_id[byte[at]].astype(np.int32))
         start, end, piece = (np.concatenate(x) for x in (start, end, piece))
         order = np.argsort(end, kind="stable")
         self.start, self.end, self.piece = start[order], end[order], piece[order]
-        self.owner = np.repeat(np.arange(len(size)), size + 1)
-        self.last = self.base + self.size
 
-    def _sum(self, score: np.ndarray, into: np.ndarray, out: np.ndarray, distance: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """log of the summed weight of all paths from the ``begin`` nodes, per node (and column)."""
-        total = np.full((self.nodes, *score.shape[1:]), -np.inf)
-        total[begin] = 0
+    def _sum(self, weight: np.ndarray, into: np.ndarray, out: np.ndarray, distance: np.ndarray, begin: np.ndarray, long: np.ndarray) -> np.ndarray:
+        """log of the summed weight of all paths from the ``begin`` nodes, per column and node.
+
+        Sums of short segments cannot underflow and are made without logarithms; nodes of
+        ``long`` segments are done again with them.  ``into`` ascends.
+        """
         far = distance[into]
-        order = np.argsort(far * self.nodes + into, kind="stable")
-        steps = np.r_[0, np.flatnonzero(np.diff(far[order])) + 1, len(order)]
-        for a, b in zip(steps[:-1].tolist(), steps[1:].tolist()):
-            arcs = order[a:b]
-            node = into[arcs]
-            edge = np.r_[0, np.flatnonzero(np.diff(node)) + 1]
-            value = total[out[arcs]] + score[arcs]
-            top = np.maximum.reduceat(value, edge, axis=0)
-            each = np.diff(np.r_[edge, len(arcs)])
-            total[node[edge]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, each, axis=0)), edge, axis=0))
+        order = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
+        into, out, piece, far = into[order], out[order], self.piece[order], far[order]
+        with np.errstate(divide="ignore"):
+            total = np.log(_paths(np.exp(weight)[:, piece], into, out, far, begin, self.nodes, False))
+        arcs = long[into]
+        if arcs.any():
+            logs = _paths(weight[:, piece[arcs]], into[arcs], out[arcs], far[arcs], begin, self.nodes, True)
+            total[:, long] = logs[:, long]
         return total
 
     def forward(self, weight: np.ndarray) -> np.ndarray:
-        """Per node, log of the summed probability of all ways to reach it.  ``weight``: log
-        probability by id, one column or several."""
-        return self._sum(weight[self.piece], self.end, self.start, np.arange(self.nodes) - self.base[self.owner], self.base)
+        """Per column and node, log of the summed probability of all ways to reach it.
+        ``weight``: log probability by column and id."""
+        return self._sum(weight, self.end, self.start, np.arange(self.nodes) - self.base[self.owner], self.base, (self.size > SHORT)[self.owner])
 
     def backward(self, weight: np.ndarray) -> np.ndarray:
-        """Per node, the same for all ways from it to the segment's end."""
-        return self._sum(weight[self.piece], self.start, self.end, self.last[self.owner] - np.arange(self.nodes), self.last)
+        """Per column and node, the same for all ways from it to the segment's end."""
+        order = np.argsort(self.start, kind="stable")
+        turned = object.__new__(Lattice)
+        turned.piece, turned.nodes = self.piece[order], self.nodes
+        return turned._sum(weight, self.start[order], self.end[order], self.last[self.owner] - np.arange(self.nodes), self.last, (self.size > SHORT)[self.owner])
+
+
+def _paths(weight: np.ndarray, into: np.ndarray, out: np.ndarray, far: np.ndarray, begin: np.ndarray, nodes: int, logs: bool) -> np.ndarray:
+    """Sums over paths, arcs ordered by distance and node; weights and sums are logarithms if ``logs``."""
+    total = np.full((len(weight), nodes), -np.inf if logs else 0.0)
+    total[:, begin] = 0 if logs else 1
+    edges = np.r_[0, np.flatnonzero(np.diff(into)) + 1] if len(into) else np.zeros(0, np.int64)
+    step = np.r_[0, np.flatnonzero(np.diff(far)) + 1, len(into)] if len(into) else np.zeros(1, np.int64)
+    at = np.searchsorted(edges, step)
+    for a, b, i, j in zip(step[:-1].tolist(), step[1:].tolist(), at[:-1].tolist(), at[1:].tolist()):
+        edge = edges[i:j] - a
+        node = into[edges[i:j]]
+        for column, own in zip(total, weight):
+            if logs:
+                value = column[out[a:b]] + own[a:b]
+                top = np.maximum.reduceat(value, edge)
+                each = np.diff(np.r_[edge, b - a])
+                column[node] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, each)), edge))
+            else:
+                column[node] = np.add.reduceat(column[out[a:b]] * own[a:b], edge)
+    return total

@@ -57,4 +57,14 @@ found as (
 items as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as names from (select distinct doc_id, item_id from found) group by 1)
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join hits using (doc_id) left join items using (doc_id)""",
+    "op9_cover_tree": """
+with fit as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+    where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, d.vec_id, list_inner_product(q.v, d.v)::bigint as score
+    from fit q join fit d on q.vec_id <> d.vec_id and len(q.v) = len(d.v) where q.vec_id % 50 = 0
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
+qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
 }

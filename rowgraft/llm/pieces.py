@@ -25,9 +25,11 @@ SEED = 7
 ALPHA = 1.0
 
 
-def _draws(key: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Numbers in [0, 1) that depend on the key and the place alone."""
-    x = key + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _draws(x: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1), each a hash of x."""
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0**-53
@@ -37,23 +39,29 @@ def sample(texts: list[bytes], keys: np.ndarray, vocabulary: Vocabulary, alpha:
     """(ids of all texts in order, their number per text)."""
     cut = Segments(texts)
     lattice, weight = Lattice(vocabulary, cut.distinct), alpha * zipf(vocabulary)
-    reach = lattice.forward(weight)
+    reach = lattice.forward(weight[None])[0]
     share = np.cumsum(np.exp(reach[lattice.start] + weight[lattice.piece] - reach[lattice.end]))
-    low = np.searchsorted(lattice.end, np.arange(lattice.nodes))
-    high = np.searchsorted(lattice.end, np.arange(lattice.nodes), side="right") - 1
+    high = np.cumsum(np.bincount(lattice.end, minlength=lattice.nodes)) - 1
+    low = np.r_[0, high[:-1] + 1]
     found = np.full(len(cut.data), -1, np.int32)
     node, begin = lattice.last[cut.code], lattice.base[cut.code]
-    text, start = cut.text, cut.start
+    # The place of a node in the chunk is node + shift, and its draw is the hash of node * STEP + key.
+    shift = cut.start - begin
+    key = keys[cut.text] + (shift - cut.text_start[cut.text]).astype(np.uint64) * STEP
     while len(node):
-        place = start + node - begin
         a, b = low[node], high[node]
-        before = np.where(a > 0, share[np.maximum(a - 1, 0)], 0.0)
-        aim = before + _draws(keys[text], place - cut.text_start[text]) * (share[b] - before)
-        arc = np.clip(np.searchsorted(share, aim, side="right"), a, b)
-        node = lattice.start[arc]
-        found[start + node - begin] = lattice.piece[arc]
+        before = np.where(a > 0, share[a - 1], 0.0)
+        aim = before + _draws(key + node.astype(np.uint64) * STEP) * (share[b] - before)
+        arc = a
+        todo = np.flatnonzero((share[a] <= aim) & (a < b))
+        while len(todo):
+            arc[todo] += 1
+            at = arc[todo]
+            todo = todo[(share[at] <= aim[todo]) & (at < b[todo])]
+        node = lattice.start[arc].astype(np.int64)
+        found[node + shift] = lattice.piece[arc]
         more = node > begin
-        node, begin, text, start = node[more], begin[more], text[more], start[more]
+        node, begin, shift, key = node[more], begin[more], shift[more], key[more]
     chosen = found >= 0
     return found[chosen], np.add.reduceat(chosen, cut.text_start, dtype=np.int64)
 

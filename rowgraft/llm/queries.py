@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgraft.llm import decontamination, language_id, licenses, line_dedup, pieces, ppm, repeats, sharding, simhash
+from rowgraft.llm import decontamination, language_id, licenses, line_dedup, pieces, ppm, repeats, sharding, simhash, top_k
 from rowgraft.llm.common import crc_of, documents, numbered, table
 from rowgraft.llm.oracles import ORACLES
 
@@ -96,3 +96,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     learned = language_id.learn(docs.where(~held_out))
     return language_id.with_language(docs.select("doc_id", "text"), learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    found = top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
