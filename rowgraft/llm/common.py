@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rowgraft.operators.skew import durable, ensure_checkpoint_dir
 
 __all__ = [
-    "NOT_BLANK", "WORD", "Joined", "crc_of", "documents", "durable", "free_name", "numbered", "pieces_of", "table", "text_bytes", "words_of", "written",
+    "NOT_BLANK", "WORD", "Joined", "crc_of", "documents", "durable", "free_name", "numbered", "pieces_of", "slices", "table", "text_bytes", "words_of", "written",
 ]
 
 #: Bytes of text that a task turns into arrays at a time.
@@ -78,6 +78,14 @@ def pieces_of(texts: list, size=len, most: int = CHUNK) -> Iterator[tuple[int, i
         yield first, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batches cut so that each holds about ``most`` bytes of text, with the texts."""
+    for batch in batches:
+        texts = text_bytes(batch[column])
+        for a, b in pieces_of(texts, most=most):
+            yield batch.slice(a, b - a), texts[a:b]
+
+
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """The frame as a table in the session's checkpoint folder, packed harder than ``durable``'s."""
     ensure_checkpoint_dir(df.sparkSession)

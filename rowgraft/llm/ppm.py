@@ -12,26 +12,30 @@ also what stands before it; so its score is a probability of the same tokens tha
 baseline scores.
 
 Texts never meet the whole model.  Neighbouring documents form blocks; a block asks for the
-strings and words it holds, once each; questions are dealt out by string, summed over blocks to
-give the model, answered where they lie, and brought back to the block, whose texts then score
-themselves.  Everything that is moved grows with the distinct strings of a block.
+strings and words it holds, once each, packed by a hash of the key.  Per hash bucket the counts
+of all blocks are summed; the strings, once each, go through the model; and the answers return
+to the block in the order of its questions, so keys travel one way only.  The block, whose
+texts know their keys, then scores them.  There are as many buckets as blocks, so that no
+task holds more than a block's worth, and all that moves grows with the distinct strings of a block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import NOT_BLANK, numbered, pieces_of, text_bytes, words_of, written
+from rowgraft.llm.common import NOT_BLANK, numbered, slices, words_of, written
 
 ORDER = 5
 #: Documents of a block, as a power of two.
 BLOCK_BITS = 13
+LEAST_BUCKETS = 64
 END = b"\n"
 
 
@@ -56,42 +60,65 @@ def _strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return packed[inside], end - size - np.arange(len(size)) * ORDER
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct strings and words of each block with their number in training texts; strings of
-    two bytes, counted in training texts only, are negative numbers."""
-    names = ["block", "gram", "word", "n"]
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    return (((grams * np.uint64(0xD1342543DE82EF95)) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _word_bucket(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.array([crc32(w) % buckets for w in words], np.int64)
+
+
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, positions in order) of each bucket that has any."""
+    order = np.argsort(bucket, kind="stable")
+    for a, b in _runs(bucket[order]):
+        yield int(bucket[order[a]]), order[a:b]
+
+
+ASKED = "kind int, block long, bucket long, total long, grams binary, words array<binary>, n binary"
+GRAMS, WORDS, PAIRS, STATS = range(4)
+
+
+def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Questions of each block by bucket: its distinct strings (ascending, as differences) or words
+    (ascending) with their number in training texts.  Counts of two-byte strings come as rows."""
+    names = ["kind", "block", "bucket", "total", "grams", "words", "n"]
+
+    def rows(kind: int, block: int, bucket: list, total=None, grams=None, words=None, n=None) -> pa.RecordBatch:
+        m = len(bucket)
+        given = zip((total, grams, words, n), (pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.binary()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([kind] * m, pa.int32()), pa.array([block] * m, pa.int64()), pa.array(bucket, pa.int64()), *[pa.nulls(m, t) if x is None else pa.array(x, t) for x, t in given]], names
+        )
 
     def told(block: int, parts: list) -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([k for k, _, _ in parts])
-        grams, at = np.unique(keys, return_inverse=True)
-        n = np.bincount(at, np.concatenate([c for _, c, _ in parts])).astype(np.int64)
-        m = len(grams)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), pa.array(grams.view(np.int64)), pa.nulls(m, pa.binary()), pa.array(n)], names)
+        grams, at = np.unique(np.concatenate([k for k, _, _ in parts]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([c for _, c, _ in parts])).astype(np.uint32)
         pairs = np.bincount((grams & np.uint64(0xFFFF)).astype(np.int64), n, 1 << 16).astype(np.int64)
         code = np.flatnonzero(pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), block)), pa.array(-1 - code), pa.nulls(len(code), pa.binary()), pa.array(pairs[code])], names)
-        words = pa.concat_tables([w for _, _, w in parts]).group_by("word").aggregate([("n", "sum")]).combine_chunks()
-        for b in words.select(["word", "n_sum"]).to_batches(max_chunksize=1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), block)), pa.nulls(len(b), pa.int64()), b["word"], b["n_sum"]], names)
+        yield rows(PAIRS, block, code, total=pairs[code])
+        dealt = list(_dealt(_bucket(grams, buckets)))
+        yield rows(GRAMS, block, [k for k, _ in dealt], grams=[np.diff(grams[i], prepend=np.uint64(0)).tobytes() for _, i in dealt], n=[n[i].tobytes() for _, i in dealt])
+        summed = pa.concat_tables([w for _, _, w in parts]).group_by("word").aggregate([("n", "sum")]).sort_by("word")
+        words, n = summed["word"].to_pylist(), summed["n_sum"].to_numpy().astype(np.uint32)
+        for k, i in _dealt(_word_bucket(words, buckets)):
+            yield rows(WORDS, block, [k], words=[[words[x] for x in i.tolist()]], n=[n[i].tobytes()])
 
     block, parts = None, []
-    for batch in batches:
-        texts, learned = text_bytes(batch["text"]), batch["learned"].to_numpy(zero_copy_only=False)
-        blocks = batch["block"].to_numpy()
+    for batch, texts in slices(batches):
+        learned, blocks = batch["learned"].to_numpy(zero_copy_only=False), batch["block"].to_numpy()
         for s, e in _runs(blocks):
             if blocks[s] != block and parts:
                 yield from told(block, parts)
                 parts = []
-            block = int(blocks[s])
-            for a, b in pieces_of(texts[s:e]):
-                own, counts = texts[s + a : s + b], learned[s + a : s + b]
-                grams, begin = _strings(own)
-                weight = np.repeat(counts, np.diff(np.r_[begin, len(grams)]))
-                seen, at = np.unique(grams, return_inverse=True)
-                words, each = words_of(own, NOT_BLANK)
-                coded = words.dictionary_encode()
-                n = np.bincount(coded.indices.to_numpy(), np.repeat(counts, each), len(coded.dictionary)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
-                parts.append((seen, np.bincount(at, weight), pa.table([coded.dictionary, pa.array(n)], names=["word", "n"])))
+            block, own, counts = int(blocks[s]), texts[s:e], learned[s:e]
+            grams, begin = _strings(own)
+            weight = np.repeat(counts, np.diff(np.r_[begin, len(grams)]))
+            seen, at = np.unique(grams, return_inverse=True)
+            words, each = words_of(own, NOT_BLANK)
+            coded = words.dictionary_encode()
+            n = np.bincount(coded.indices.to_numpy(), np.repeat(counts, each), len(coded.dictionary)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+            parts.append((seen, np.bincount(at, weight), pa.table([coded.dictionary, pa.array(n)], names=["word", "n"])))
     if parts:
         yield from told(block, parts)
 
@@ -101,6 +128,40 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     return ((a, b) for a, b in zip(edges, edges[1:]) if a < b)
 
 
+def _keys(packed: list[bytes]) -> list[np.ndarray]:
+    return [np.cumsum(np.frombuffer(g, np.uint64), dtype=np.uint64) for g in packed]
+
+
+def _sums(asked: pa.Table) -> pa.Table:
+    """(gram, n) of one bucket over all blocks."""
+    grams, at = np.unique(np.concatenate(_keys(asked["grams"].to_pylist())), return_inverse=True)
+    n = np.bincount(at, np.concatenate([np.frombuffer(x, np.uint32) for x in asked["n"].to_pylist()])).astype(np.int64)
+    return pa.table({"gram": grams.view(np.int64), "n": n})
+
+
+def _answered(asked: pa.Table, model: pa.Table) -> pa.Table:
+    order = np.argsort(model["gram"].to_numpy().view(np.uint64))
+    grams, logp = model["gram"].to_numpy().view(np.uint64)[order], model["logp"].to_numpy()[order].astype(np.float32)
+    found = [logp[np.searchsorted(grams, k)].tobytes() for k in _keys(asked["grams"].to_pylist())]
+    return _answers(asked["block"].to_pylist(), asked["bucket"].to_pylist(), GRAMS, found)
+
+
+def _answers(block: list, bucket: list, kind: int, found: list[bytes]) -> pa.Table:
+    return pa.table([pa.array(block, pa.int64()), pa.array(bucket, pa.int64()), pa.array([kind] * len(found), pa.int32()), pa.array(found, pa.binary())], names=["block", "bucket", "kind", "found"])
+
+
+def _totals(asked: pa.Table) -> pa.Table:
+    """Answers for the words of one bucket, and a row that holds, as bucket and block, how many
+    distinct and how many training words there are."""
+    words = asked["words"].combine_chunks()
+    code = words.flatten().dictionary_encode().indices.to_numpy()
+    total = np.bincount(code, np.concatenate([np.frombuffer(x, np.uint32) for x in asked["n"].to_pylist()])).astype(np.uint32)
+    ends = np.cumsum(words.value_lengths().to_numpy())
+    found = [total[code[e - m : e]].tobytes() for e, m in zip(ends.tolist(), words.value_lengths().to_pylist())]
+    stats = _answers([int(total.sum(dtype=np.int64))], [int(np.count_nonzero(total))], STATS, [None])
+    return pa.concat_tables([_answers(asked["block"].to_pylist(), asked["bucket"].to_pylist(), WORDS, found), stats])
+
+
 def log_probabilities(grams: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """log10 of the last byte's probability after the bytes before it, for each string.
 
@@ -143,9 +204,9 @@ def log_probabilities(grams: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np
     return found
 
 
-def _predict(group: pa.Table, pairs: np.ndarray) -> pa.Table:
+def _predict(group: pa.Table, pairs: np.ndarray, buckets: int) -> pa.Table:
     grams = group["gram"].to_numpy()
-    return pa.table({"gram": grams, "logp": log_probabilities(grams, group["n"].to_numpy(), pairs)})
+    return pa.table({"gram": grams, "bucket": _bucket(grams.view(np.uint64), buckets), "logp": log_probabilities(grams, group["n"].to_numpy(), pairs)})
 
 
 class Answers:
@@ -178,31 +239,40 @@ class Answers:
         return self.values[at]
 
 
-def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _put_back(bucket: np.ndarray, answers: dict[int, bytes], kind) -> np.ndarray:
+    """Answers in the order of the keys, which were asked bucket by bucket."""
+    values = np.zeros(len(bucket), kind)
+    for k, at in _dealt(bucket):
+        values[at] = np.frombuffer(answers[k], kind)
+    return values
+
+
+def _score(docs: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     """Per document of a block: tokens, known ones, the sum of log10(c + 0.5) over its words and
     log10 of the model's probability."""
-    names = ["rid", "n_words", "n_known", "words_log", "score"]
-    texts = [x for b in docs.to_batches() for x in text_bytes(b["text"])]
-    if not texts:
-        return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())], names=names)
-    is_word = pc.is_valid(answers["word"])
-    by_word, by_gram = answers.filter(is_word), answers.filter(pc.invert(is_word))
-    model = Answers(by_gram["gram"].to_numpy(), by_gram["value"].to_numpy())
-    counts, listed = by_word["value"].to_numpy(), by_word["word"].combine_chunks()
-    out = []
-    for a, b in pieces_of(texts):
-        grams, begin = _strings(texts[a:b])
-        score = np.add.reduceat(model.of(grams), begin)
-        words, each = words_of(texts[a:b], NOT_BLANK)
-        coded = words.dictionary_encode()
-        c = counts[pc.index_in(coded.dictionary, listed).to_numpy(zero_copy_only=False)][coded.indices.to_numpy()] if len(words) else np.zeros(0)
-        text = np.repeat(np.arange(b - a), each)
-        out.append((each, np.bincount(text, c > 0, b - a), np.bincount(text, np.log10(c + 0.5), b - a), score))
-    each, known, log, score = (np.concatenate(x) for x in zip(*out))
-    return pa.table([docs["rid"], pa.array(each.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(log), pa.array(score)], names=names)
-
-
-def lm_scores(docs: DataFrame, learned, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    told: dict[int, dict[int, bytes]] = {GRAMS: {}, WORDS: {}}
+    for kind, bucket, found in zip(*(answers[c].to_pylist() for c in ("kind", "bucket", "found"))):
+        told[kind][bucket] = found
+    seen, listed = [], []
+    for batch, texts in slices(iter(docs.to_batches())):
+        seen.append(np.unique(_strings(texts)[0]))
+        listed.append(pa.table([words_of(texts, NOT_BLANK)[0].unique()], names=["word"]))
+    grams, words = np.unique(np.concatenate(seen)), pa.concat_tables(listed).group_by("word").aggregate([]).sort_by("word")["word"]
+    model = Answers(grams, _put_back(_bucket(grams, buckets), told[GRAMS], np.float32))
+    counts = _put_back(_word_bucket(words.to_pylist(), buckets), told[WORDS], np.uint32)
+    words, out = words.combine_chunks(), []
+    for batch, texts in slices(iter(docs.to_batches())):
+        own, begin = _strings(texts)
+        score = np.add.reduceat(model.of(own).astype(float), begin)
+        found, each = words_of(texts, NOT_BLANK)
+        coded = found.dictionary_encode()
+        c = counts[pc.index_in(coded.dictionary, words).to_numpy(zero_copy_only=False)][coded.indices.to_numpy()] if len(found) else np.zeros(0)
+        text = np.repeat(np.arange(len(texts)), each)
+        out.append((batch["rid"].to_numpy(), each.astype(np.int64), np.bincount(text, c > 0, len(texts)).astype(np.int64), np.bincount(text, np.log10(c + 0.5), len(texts)), score))
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(*out)], names=["rid", "n_words", "n_known", "words_log", "score"])
+
+
+def lm_scores(docs: DataFrame, learned: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: rid, its id, n_tokens, n_known, train_tokens, base_score, score.
 
     ``learned`` is a condition on the columns of ``docs``: the rows the model and the word counts
@@ -214,27 +284,28 @@ def lm_scores(docs: DataFrame, learned, id_column: str = "doc_id", text_column:
     own = numbered(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.coalesce(learned, F.lit(False)).alias("learned")))
     own = own.withColumn("block", F.shiftright("rid", BLOCK_BITS))
     texts = own.select("rid", "block", "text")
-    asked = written(own.select("block", "text", "learned").mapInArrow(_asked, "block long, gram long, word binary, n long"))
+    ends = own.where("learned").count()
+    buckets = max(LEAST_BUCKETS, own.count() >> BLOCK_BITS)
+    asked = written(own.select("block", "text", "learned").mapInArrow(lambda b: _asked(b, buckets), ASKED))
     pairs = np.zeros((256, 256), np.int64)
-    for row in asked.where("gram < 0").groupBy("gram").agg(F.sum("n").alias("n")).collect():  # 65,536 rows at most
-        pairs[divmod(-1 - row.gram, 256)] = row.n
-    grams = asked.where("gram >= 0").select("block", "gram", "n").repartition("gram")
-    model = grams.groupBy("gram").agg(F.sum("n").alias("n")).withColumn("context", F.expr("pmod(hash((gram div 256) % 65536), 256)"))
-    model = model.groupBy("context").applyInArrow(lambda t: _predict(t, pairs), "gram long, logp double")
-    to_grams = grams.join(model, "gram").select("block", "gram", F.lit(None).cast("binary").alias("word"), F.col("logp").alias("value"), F.lit(0).cast("long").alias("first"))
-    each = "over (partition by word order by block rows between unbounded preceding and unbounded following)"
-    words = asked.where("word is not null").selectExpr("block", "word", f"sum(n) {each} as c", f"row_number() over (partition by word order by block) as nth")
-    to_words = words.select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value"), F.expr("cast(nth = 1 and c > 0 as long)").alias("first"))
-    schema = "rid long, n_words long, n_known long, words_log double, score double, distinct long"
-    scored = written(texts.groupBy("block").cogroup(to_grams.unionAll(to_words).groupBy("block")).applyInArrow(_scored, schema))
-    distinct = scored.where("rid is null").agg(F.sum("distinct")).first()[0] or 0
-    ends, seen = own.where("learned").count(), asked.where("word is not null").agg(F.sum("n")).first()[0] or 0
-    total, kinds = seen + ends, distinct + (ends > 0)
+    for row in asked.where(F.col("kind") == PAIRS).groupBy("bucket").agg(F.sum("total").alias("n")).collect():  # 65,536 rows at most
+        pairs[divmod(row.bucket, 256)] = row.n
+    grams = asked.where(F.col("kind") == GRAMS).select("bucket", "block", "grams", "n")
+    model = grams.groupBy("bucket").applyInArrow(_sums, "gram long, n long")
+    model = model.withColumn("context", F.expr("pmod(hash((gram div 256) % 65536), 256)")).groupBy("context").applyInArrow(lambda t: _predict(t, pairs, buckets), "gram long, bucket long, logp double")
+    answer = "block long, bucket long, kind int, found binary"
+    to_grams = grams.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_answered, answer)
+    words = written(asked.where(F.col("kind") == WORDS).select("bucket", "block", "words", "n").groupBy("bucket").applyInArrow(_totals, answer))
+    kinds, seen = words.where(F.col("kind") == STATS).agg(F.coalesce(F.sum("bucket"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0))).first()
+    to_words = words.where(F.col("kind") == WORDS)
+    schema = "rid long, n_words long, n_known long, words_log double, score double"
+    scored = texts.groupBy("block").cogroup(to_grams.unionAll(to_words).groupBy("block")).applyInArrow(lambda d, a: _score(d, a, buckets), schema)
+    total, kinds = seen + ends, kinds + (ends > 0)
     per_token = F.log10(F.lit(total + 0.5 * (kinds + 1)))
     n_tokens = F.col("n_words") + 1
     return (
         own.select("rid", "id")
-        .join(scored.where("rid is not null"), "rid")
+        .join(scored, "rid")
         .select(
             "rid",
             F.col("id").alias(id_column),
@@ -245,11 +316,3 @@ def lm_scores(docs: DataFrame, learned, id_column: str = "doc_id", text_column:
             "score",
         )
     )
-
-
-def _scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    """The scores of a block, and a row without rid: the training words first met in this block."""
-    told = _score(docs, answers)
-    first = pc.sum(answers["first"]).as_py() or 0
-    told = told.append_column("distinct", pa.nulls(len(told), pa.int64()))
-    return pa.concat_tables([told, pa.table([pa.array([x], f.type) for x, f in zip([None, None, None, None, None, first], told.schema)], names=told.schema.names)])
