@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import free_name, pieces_of, text_bytes
+from rowgraft.llm.common import free_name, numbered, pieces_of, slices
 from rowgraft.llm.lattice import CHUNK, LEAST, MODEL, Lattice, Segments, Vocabulary, load_vocabulary, zipf
 
 UNKNOWN = "und"
@@ -31,19 +31,16 @@ PER_LANGUAGE = 1000
 def _expected(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
     """(lang, piece, expected uses) of a task, summed before they travel."""
     prior, sums = zipf(vocabulary), {}
-    for batch in batches:
-        texts, langs = text_bytes(batch["text"]), batch["lang"].to_pylist()
-        for a, b in pieces_of(texts, most=CHUNK):
-            cut = Segments(texts[a:b])
-            lattice = Lattice(vocabulary, cut.distinct)
-            ahead, behind = lattice.forward(prior[None])[0], lattice.backward(prior[None])[0]
-            owner = lattice.owner[lattice.start]
-            used = np.exp(ahead[lattice.start] + prior[lattice.piece] + behind[lattice.end] - behind[lattice.base][owner])
-            for lang in sorted(set(langs[a:b])):
-                own = np.array([x == lang for x in langs[a:b]])
-                times = np.bincount(cut.code[own[cut.text]], minlength=len(cut.distinct))
-                found = np.bincount(lattice.piece, used * times[owner], vocabulary.size)
-                sums[lang] = sums.get(lang, 0) + found
+    for batch, texts in slices(batches, most=CHUNK):
+        langs, cut = batch["lang"].to_pylist(), Segments(texts)
+        lattice = Lattice(vocabulary, cut.distinct)
+        ahead, behind = lattice.forward(prior[None])[0], lattice.backward(prior[None])[0]
+        owner = lattice.owner[lattice.start]
+        used = np.exp(ahead[lattice.start] + prior[lattice.piece] + behind[lattice.end] - behind[lattice.base][owner])
+        for lang in sorted(set(langs)):
+            own = np.array([x == lang for x in langs])
+            times = np.bincount(cut.code[own[cut.text]], minlength=len(cut.distinct))
+            sums[lang] = sums.get(lang, 0) + np.bincount(lattice.piece, used * times[owner], vocabulary.size)
     for lang, found in sums.items():
         piece = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(piece)), pa.array(piece), pa.array(found[piece])], ["lang", "piece", "uses"])
@@ -59,8 +56,11 @@ def learn(labelled: DataFrame, lang_column: str = "lang", text_column: str = "te
     """
     vocabulary = load_vocabulary(model)
     own = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where("lang is not null and text is not null")
-    own = own.withColumn("nth", F.expr("row_number() over (partition by lang order by xxhash64(text))")).where(F.col("nth") <= per_language)
-    rows = own.select("lang", "text").mapInArrow(lambda b: _expected(b, vocabulary), "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).toPandas()
+    own = numbered(own)
+    hashed = own.select("rid", "lang", F.xxhash64("text").alias("h")).withColumn("nth", F.expr("row_number() over (partition by lang order by h, rid)"))
+    # A bounded number of row numbers, whatever the size of the table.
+    sample = F.broadcast(hashed.where(F.col("nth") <= per_language).select("rid"))
+    rows = own.join(sample, "rid", "left_semi").select("lang", "text").mapInArrow(lambda b: _expected(b, vocabulary), "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).toPandas()
     langs = sorted(rows["lang"].unique())
     counts = np.full((len(langs), vocabulary.size), SMOOTHING)
     for k, lang in enumerate(langs):
@@ -73,7 +73,7 @@ class Likelihoods:
     """log probability of texts in each language; segments met before are looked up."""
 
     #: Distinct segments that are kept.
-    MOST = 1 << 20
+    MOST = 1 << 19
 
     def __init__(self, vocabulary: Vocabulary, weight: np.ndarray):
         self.vocabulary, self.weight = vocabulary, weight
@@ -116,9 +116,8 @@ def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_of = Likelihoods(vocabulary, weight)
-        for batch in batches:
+        for batch, texts in slices(batches, text_column, CHUNK):
             names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
-            texts = text_bytes(batch[text_column])
             told = np.array([any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in texts], bool)
             at = np.flatnonzero(told)
             if langs and len(at):

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import free_name, pieces_of, text_bytes
+from rowgraft.llm.common import free_name, slices
 from rowgraft.llm.lattice import CHUNK, MODEL, Lattice, Segments, Vocabulary, load_vocabulary, zipf
 
 SEED = 7
@@ -76,16 +76,12 @@ def encoded(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     vocabulary, name = load_vocabulary(model), free_name(docs, "pieces")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = text_bytes(batch[text_column])
+        for batch, texts in slices(batches, text_column, CHUNK):
             keys = np.array([xxhash.xxh64_intdigest("" if i is None else str(i), seed) for i in batch[id_column].to_pylist()], np.uint64)
             at = [i for i, t in enumerate(texts) if t]
-            n, parts = np.zeros(len(texts), np.int64), []
-            for a, b in pieces_of(at, size=lambda i: len(texts[i]), most=CHUNK):
-                own = at[a:b]
-                ids, n[own] = sample([texts[i] for i in own], keys[own], vocabulary, alpha)
-                parts.append(ids)
-            ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            n, ids = np.zeros(len(texts), np.int64), np.zeros(0, np.int32)
+            if at:
+                ids, n[at] = sample([texts[i] for i in at], keys[at], vocabulary, alpha)
             empty = batch[text_column].is_null()
             pieces = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(ids, pa.int32()), mask=empty)
             yield pa.RecordBatch.from_arrays([*batch.columns, pieces], [*batch.schema.names, name])
