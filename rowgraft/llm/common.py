@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ __all__ = [
 ]
 
 #: Bytes of text that a task turns into arrays at a time.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,9 +82,10 @@ def pieces_of(texts: list, size=len, most: int = CHUNK) -> Iterator[tuple[int, i
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batches cut so that each holds about ``most`` bytes of text, with the texts."""
     for batch in batches:
-        texts = text_bytes(batch[column])
-        for a, b in pieces_of(texts, most=most):
-            yield batch.slice(a, b - a), texts[a:b]
+        size = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
+        for a, b in pieces_of(size, size=int, most=most):
+            part = batch.slice(a, b - a)
+            yield part, text_bytes(part[column])
 
 
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:

@@ -17,43 +17,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import WORD, numbered, pieces_of, text_bytes, words_of, written
+from rowgraft.llm.common import WORD, numbered, slices, text_bytes, words_of, written
 
 WINDOW = 10
 #: Bytes of text of an index block.
-BLOCK = 24 << 20
+BLOCK = 8 << 20
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Index rows (block, term, n, postings) and document rows (block, rid, n words, first)."""
     names = ["block", "rid", "first", "term", "n", "postings"]
-    for batch in batches:
-        texts, rids = text_bytes(batch["text"]), batch["rid"].to_numpy()
-        for a, b in pieces_of(texts, most=BLOCK):
-            words, counts = words_of(texts[a:b], WORD)
-            block = int(rids[a])
-            # An empty place after each text keeps windows from crossing into the next.
-            first = np.cumsum(counts + 1) - counts - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(b - a, block)), pa.array(rids[a:b]), pa.array(first), pa.nulls(b - a, pa.binary()), pa.array(counts), pa.nulls(b - a, pa.binary())], names
-            )
-            if not len(words):
-                continue
-            coded = words.dictionary_encode()
-            code = coded.indices.to_numpy()
-            place = np.arange(len(code)) + np.repeat(np.arange(b - a), counts)
-            order = np.argsort(code, kind="stable")
-            n = np.bincount(code)
-            ends = np.cumsum(n)
-            steps = np.diff(place[order], prepend=0).astype(np.uint32)
-            steps[ends - n] = place[order][ends - n]
-            offsets = np.r_[0, ends * 4].astype(np.int32)
-            packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(steps)])
-            for s in range(0, len(n), 1 << 16):
-                m = len(n[s : s + (1 << 16)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, block)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), coded.dictionary.slice(s, m), pa.array(n[s : s + m]), packed.slice(s, m)], names
-                )
+    for batch, texts in slices(batches, most=BLOCK):
+        rids, m = batch["rid"], len(batch)
+        words, counts = words_of(texts, WORD)
+        block = rids[0].as_py()
+        # An empty place after each text keeps windows from crossing into the next.
+        first = np.cumsum(counts + 1) - counts - 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block)), rids, pa.array(first), pa.nulls(m, pa.binary()), pa.array(counts), pa.nulls(m, pa.binary())], names)
+        if not len(words):
+            continue
+        coded = words.dictionary_encode()
+        code = coded.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        place = (np.arange(len(code)) + np.repeat(np.arange(m), counts))[order]
+        n = np.bincount(code)
+        ends = np.cumsum(n)
+        steps = np.diff(place, prepend=0).astype(np.uint32)
+        steps[ends - n] = place[ends - n]
+        packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.r_[0, ends * 4].astype(np.int32)), pa.py_buffer(steps)])
+        for s in range(0, len(n), 1 << 16):
+            own = pa.array(n[s : s + (1 << 16)])
+            none = pa.nulls(len(own), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), none, none, coded.dictionary.slice(s, len(own)), own, packed.slice(s, len(own))], names)
 
 
 def positional_index(docs: DataFrame) -> DataFrame:

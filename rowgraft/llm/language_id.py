@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import free_name, numbered, pieces_of, slices
+from rowgraft.llm.common import free_name, numbered, slices
 from rowgraft.llm.lattice import CHUNK, LEAST, MODEL, Lattice, Segments, Vocabulary, load_vocabulary, zipf
 
 UNKNOWN = "und"
@@ -73,7 +73,7 @@ class Likelihoods:
     """log probability of texts in each language; segments met before are looked up."""
 
     #: Distinct segments that are kept.
-    MOST = 1 << 19
+    MOST = 1 << 17
 
     def __init__(self, vocabulary: Vocabulary, weight: np.ndarray):
         self.vocabulary, self.weight = vocabulary, weight
@@ -94,12 +94,9 @@ class Likelihoods:
         return found
 
     def of(self, texts: list[bytes]) -> np.ndarray:
-        found = [np.zeros((0, len(self.weight)))]
-        for a, b in pieces_of(texts, most=CHUNK):
-            cut = Segments(texts[a:b])
-            each = self.of_segments(cut.distinct)
-            found.append(np.stack([np.add.reduceat(e[cut.code], cut.first) for e in each.T], 1))
-        return np.concatenate(found)
+        cut = Segments(texts)
+        each = self.of_segments(cut.distinct)
+        return np.stack([np.add.reduceat(e[cut.code], cut.first) for e in each.T], 1)
 
 
 def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_column: str = "text", model: str = MODEL) -> DataFrame:

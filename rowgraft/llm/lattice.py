@@ -19,7 +19,7 @@ import sentencepiece
 #: Where the public tokenizers' files lie; a parameter of every operator that reads one.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose segments are laid out together.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 BLANK = 0x20
 #: Stands for the end of a segment among bytes.
 NONE = 256

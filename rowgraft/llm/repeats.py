@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import CHUNK, pieces_of, text_bytes, written
+from rowgraft.llm.common import CHUNK, pieces_of, slices, written
 
 LENGTH = 400
 GRAM = 64
@@ -108,8 +108,8 @@ UNIT = "rid long, first int, windows int, at int, alone boolean, g long, c long"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        segments = list(_segments(batch["rid"].to_pylist(), text_bytes(batch["text"]), length, CHUNK))
+    for batch, texts in slices(batches):
+        segments = list(_segments(batch["rid"].to_pylist(), texts, length, CHUNK))
         for a, b in pieces_of(segments, size=lambda s: len(s[2])):
             part = segments[a:b]
             data = b"".join(s[2] for s in part)
@@ -128,19 +128,19 @@ def _units(rid, first, windows, at, alone, g, c) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["rid", "first", "windows", "at", "alone", "g", "c"])
 
 
-def _left(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray, ...]]:
+def _left(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[tuple[int, bytes, np.ndarray, ...]]:
     """(rid, text, first, windows, at, alone) of each text with the runs left in it."""
     own = batch["left"]
     fields = [own.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("first", "windows", "at", "alone")]
     stop = np.cumsum(own.value_lengths().to_numpy())
-    for i, (rid, text) in enumerate(zip(batch["rid"].to_pylist(), text_bytes(batch["text"]))):
+    for i, (rid, text) in enumerate(zip(batch["rid"].to_pylist(), texts)):
         a, b = (stop[i - 1] if i else 0), stop[i]
         yield rid, text, *[f[a:b].astype(np.int64) for f in fields]
 
 
 def _steps(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rid, text, first, windows, at, alone in _left(batch):
+    for batch, texts in slices(batches):
+        for rid, text, first, windows, at, alone in _left(batch, texts):
             low, high = at - windows + 1, at  # distances from windows to the gram
             n = high // step - low // step + 1
             i = np.repeat(np.arange(len(first)), n)
@@ -154,8 +154,8 @@ def _steps(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterato
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rid, text, first, windows, _, alone in _left(batch):
+    for batch, texts in slices(batches):
+        for rid, text, first, windows, _, alone in _left(batch, texts):
             i = np.repeat(np.arange(len(first)), windows)
             at = first[i] + np.arange(len(i)) - np.repeat(np.cumsum(windows) - windows, windows)
             both = b"".join([xxhash.xxh3_128_digest(text[x : x + length]) for x in at.tolist()])
@@ -197,9 +197,9 @@ def _meeting(texts: DataFrame, left: DataFrame) -> DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for batch in batches:
+    for batch, texts in slices(batches):
         size, spans, kept = [], [], []
-        for text, runs in zip(text_bytes(batch["text"]), batch["runs"].to_pylist()):
+        for text, runs in zip(texts, batch["runs"].to_pylist()):
             found: list[list[int]] = []
             for r in sorted(runs or (), key=lambda r: r["first"]):
                 a, b = r["first"], r["first"] + r["windows"] - 1 + length

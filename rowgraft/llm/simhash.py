@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import durable, text_bytes
+from rowgraft.llm.common import durable, slices
 
 RADIUS = 4
 WORDS = 4
@@ -63,8 +63,8 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """(id, fp) per row, fp the 64 bits as a signed long.  Null and empty texts have 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = pa.array([_signed(fingerprint(t)) for t in text_bytes(b["text"])], pa.int64())
+        for b, texts in slices(batches):
+            fp = pa.array([_signed(fingerprint(t)) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([b["id"], fp], ["id", "fp"])
 
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
