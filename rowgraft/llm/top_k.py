@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from rowgraft.llm.common import durable, numbered
 
 K = 5
-#: Rows of a block of data and of a group of queries, and of a leaf.
-BLOCK, GROUP, LEAF = 8192, 1024, 64
+#: Rows of a block of data and of a group of queries, and of a leaf of either tree; few queries
+#: share a leaf, as the worst of them decides what may be passed over.
+BLOCK, GROUP, LEAF, QUERY_LEAF = 8192, 1024, 64, 8
 #: Centres a node is split into at most, where half its radius needs more.
 WIDEST = 32
 
@@ -30,16 +31,16 @@ WIDEST = 32
 class Node:
     __slots__ = ("centre", "norm", "radius", "rows", "children")
 
-    def __init__(self, x: np.ndarray, rows: np.ndarray, centre: int):
+    def __init__(self, x: np.ndarray, rows: np.ndarray, centre: int, leaf: int):
         self.centre, self.rows, self.children = x[centre], rows, []
         self.norm = float(np.sqrt(self.centre @ self.centre))
         gap = _gaps(x, rows, centre)
         # Rounding must not make a bound too small.
         self.radius = float(gap.max()) * (1 + 1e-9)
-        if len(rows) > LEAF and self.radius:
-            self._split(x, rows, centre, gap)
+        if len(rows) > leaf and self.radius:
+            self._split(x, rows, centre, gap, leaf)
 
-    def _split(self, x: np.ndarray, rows: np.ndarray, centre: int, gap: np.ndarray) -> None:
+    def _split(self, x: np.ndarray, rows: np.ndarray, centre: int, gap: np.ndarray, leaf: int) -> None:
         centres, nearest, far = [centre], np.zeros(len(rows), np.int64), gap
         while far.max() > self.radius / 2 and len(centres) < WIDEST:
             new = int(rows[far.argmax()])
@@ -47,7 +48,7 @@ class Node:
             closer = other < far
             nearest[closer], far = len(centres), np.minimum(far, other)
             centres.append(new)
-        self.children = [Node(x, own, c) for k, c in enumerate(centres) if len(own := rows[nearest == k])]
+        self.children = [Node(x, own, c, leaf) for k, c in enumerate(centres) if len(own := rows[nearest == k])]
 
 
 def _gaps(x: np.ndarray, rows: np.ndarray, centre: int) -> np.ndarray:
@@ -68,12 +69,12 @@ class Best:
 
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         k = self.score.shape[1]
-        for r, own in zip(rows.tolist(), score):
+        for n in np.flatnonzero(score.max(axis=1) >= self.score[rows, -1]).tolist():
+            r, own = rows[n], score[n]
             hit = np.flatnonzero(own >= self.score[r, -1])
-            if len(hit):
-                s, i = np.r_[self.score[r], own[hit]], np.r_[self.ids[r], ids[hit]]
-                top = np.lexsort((i, -s))[:k]
-                self.score[r], self.ids[r] = s[top], i[top]
+            s, i = np.r_[self.score[r], own[hit]], np.r_[self.ids[r], ids[hit]]
+            top = np.lexsort((i, -s))[:k]
+            self.score[r], self.ids[r] = s[top], i[top]
 
     def worst(self, rows: np.ndarray) -> float:
         return float(self.score[rows, -1].min())
@@ -85,7 +86,7 @@ def search(q: np.ndarray, q_rid: np.ndarray, d: np.ndarray, d_rid: np.ndarray, d
     best, made = Best(len(q), k), 0
     if not len(q) or not len(d):
         return best, made
-    roots = Node(q, np.arange(len(q)), 0), Node(d, np.arange(len(d)), 0)
+    roots = Node(q, np.arange(len(q)), 0, QUERY_LEAF), Node(d, np.arange(len(d)), 0, LEAF)
     heap, turn = [(-_bound(*roots), 0, *roots)], 1
     while heap:
         bound, _, a, b = heapq.heappop(heap)

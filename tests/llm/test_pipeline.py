@@ -1,0 +1,28 @@
+"""The pipeline's stages keep what they should and cut what they must."""
+
+import corpus_pipeline
+from rowgraft.llm import decontamination, pieces, simhash
+from rowgraft.llm.common import documents, table
+
+
+def test_run(spark, sf):
+    docs = documents(spark, sf)
+    out = corpus_pipeline.run(spark, sf).cache()
+    assert out.columns == [*docs.columns, "pieces"] and len(corpus_pipeline.STAGES) == 5
+    rows = out.collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    # Near copies: at most one document of each component; clean ones stay.
+    of = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    kept = [of[r.doc_id] for r in rows]
+    assert len(kept) == len(set(kept)) and all(of[r.doc_id] == r.doc_id for r in rows)
+    hit = {r.doc_id for r in decontamination.contamination(docs, table(spark, sf, "benchmark")).where("n_hit > 0").collect()}
+    clean = {i for i, c in of.items() if i == c and i not in hit}
+    assert clean <= {r.doc_id for r in rows}
+    assert decontamination.contamination(out, table(spark, sf, "benchmark")).where("n_hit > 0").count() == 0
+    assert all(bytes(r.decoded).decode() == r.text for r in pieces.decoded(out).collect())
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
+def test_stages_on_an_empty_table(spark, sf):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, documents(spark, sf).where("1 = 0"), sf).count() == 0
