@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from rowgraft.llm.common import durable, numbered
 
 K = 5
-#: Rows of a block of data and of a group of queries, and of a leaf of either tree; few queries
-#: share a leaf, as the worst of them decides what may be passed over.
-BLOCK, GROUP, LEAF, QUERY_LEAF = 8192, 1024, 64, 8
+#: Rows of a block of data and of a group of queries, and of a leaf of either tree; fewer queries
+#: share a leaf, as the worst of them decides what may be passed over.  Every group meets all
+#: data, so groups are large.
+BLOCK, GROUP, LEAF, QUERY_LEAF = 8192, 8192, 256, 64
 #: Centres a node is split into at most, where half its radius needs more.
 WIDEST = 32
 
@@ -69,12 +70,18 @@ class Best:
 
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         k = self.score.shape[1]
-        for n in np.flatnonzero(score.max(axis=1) >= self.score[rows, -1]).tolist():
-            r, own = rows[n], score[n]
-            hit = np.flatnonzero(own >= self.score[r, -1])
-            s, i = np.r_[self.score[r], own[hit]], np.r_[self.ids[r], ids[hit]]
-            top = np.lexsort((i, -s))[:k]
-            self.score[r], self.ids[r] = s[top], i[top]
+        n, col = np.nonzero((score >= self.score[rows, -1][:, None]) & (score > -np.inf))
+        if not len(n):
+            return
+        # What the touched queries hold already meets the new hits; the first k of each stay.
+        touched = np.unique(n)
+        at = np.r_[np.repeat(touched, k), n]
+        s = np.r_[self.score[rows[touched]].ravel(), score[n, col]]
+        i = np.r_[self.ids[rows[touched]].ravel(), ids[col]]
+        order = np.lexsort((i, -s, at))
+        first = np.searchsorted(at[order], touched)
+        top = order[first[:, None] + np.arange(k)]
+        self.score[rows[touched]], self.ids[rows[touched]] = s[top], i[top]
 
     def worst(self, rows: np.ndarray) -> float:
         return float(self.score[rows, -1].min())
@@ -96,7 +103,7 @@ def search(q: np.ndarray, q_rid: np.ndarray, d: np.ndarray, d_rid: np.ndarray, d
             score = q[a.rows] @ d[b.rows].T
             made += score.size
             score[q_rid[a.rows][:, None] == d_rid[b.rows][None]] = -np.inf
-            best.add(a.rows, np.where(np.isfinite(score), score, -np.inf), d_id[b.rows])
+            best.add(a.rows, score, d_id[b.rows])
             continue
         wide = not b.children or (a.children and a.radius * b.norm > b.radius * a.norm)
         for x, y in [(c, b) for c in a.children] if wide else [(a, c) for c in b.children]:
