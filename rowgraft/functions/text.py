@@ -50,7 +50,11 @@ def canon(value: Column, dtype: T.DataType) -> Column:
         return F.when(value, F.lit("True")).when(~value, F.lit("False"))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return _floating_text(value)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        # An instant is told in UTC, whatever the zone of the session.
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return _instant_text(F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch))
+    if isinstance(dtype, T.TimestampNTZType):
         return _instant_text(value)
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(value)

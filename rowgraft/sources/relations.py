@@ -23,16 +23,6 @@ def normalised(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def spread(df: DataFrame, least_rows: int = 100_000) -> DataFrame:
-    """File rows spread over the cores when the files come in too few pieces to keep them
-    busy, such as one row group.  Large inputs have more splits than cores and are left
-    alone, so nothing big is ever moved for this."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or df.count() < least_rows:
-        return df
-    return df.repartition(cores)
-
-
 def read_relation(
     spark: SparkSession, source: SourceSpec, relations: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
@@ -48,7 +38,7 @@ def read_relation(
     elif source.query:
         df = spark.sql(source.query, **{k: v for k, v in relations.items() if "{" + k + "}" in source.query})
     elif source.path:
-        df = spread(spark.read.format(source.format).options(**dict(source.options)).load(source.path))
+        df = spark.read.format(source.format).options(**dict(source.options)).load(source.path)
     elif source.relation in relations:
         df = relations[source.relation]
     elif source.relation:
@@ -69,14 +59,17 @@ def extract_rows(
     Both predicates reach the scan.  With a high-water mark, rows without a watermark
     value are left out; without one every row is read.
     """
-    df = read_relation(spark, spec.source, relations)
-    if spec.row_filter:
-        df = df.where(F.expr(spec.row_filter))
+    df = filtered(read_relation(spark, spec.source, relations), spec)
     if since is not None:
         df = df.where(later_than(df, spec.watermark_column, since))
     return df
 
 
+def filtered(df: DataFrame, spec: MappingSpec) -> DataFrame:
+    """The rows a mapping takes from its relation."""
+    return df.where(F.expr(spec.row_filter)) if spec.row_filter else df
+
+
 def later_than(df: DataFrame, column: str, since: datetime | str) -> Column:
     name = column.lower()
     mark = since.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(since, datetime) else since
@@ -88,14 +81,14 @@ def bounds(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("low"), F.max(column).alias("high"))
 
 
-def chunk_count(low, high, chunk: int, most: int = 10_000) -> int:
+def chunk_count(low, high, chunk: int) -> int:
     """How many key ranges of width ``chunk`` a relation is read in; 0 when it is empty."""
     if low is None or high is None:
         return 0
     span = high - low
     if not isinstance(span, (int, float, Decimal)):
         span = span.days
-    return max(1, min(most, math.ceil((float(span) + 1) / chunk)))
+    return max(1, math.ceil((float(span) + 1) / chunk))
 
 
 def read_jdbc(spark: SparkSession, source: SourceSpec) -> DataFrame:

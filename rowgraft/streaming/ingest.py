@@ -20,7 +20,9 @@ def ingest(
     """Starts a query that treats every micro-batch as a timestamp extract of the mappings.
 
     The stream's checkpoint takes the place of the stored watermark.  Each batch commits
-    under its own origin, so a batch replayed after a failure changes nothing.  A merge
+    under its own origin, made of the id its checkpoint gives the stream, so a batch replayed
+    after a failure changes nothing and streams do not take each other's batches for theirs.
+    A batch with a failing mapping fails the stream and is tried again.  A merge
     rewrites the parts it touches, so choose a trigger that gives large batches; the
     default drains what is there and stops.
     """
@@ -28,7 +30,8 @@ def ingest(
     def apply(batch: DataFrame, epoch: int) -> None:
         rows = normalised(batch).persist()
         try:
-            pipeline.apply_rows(rows, mapping_ids, f"{name}/{epoch}")
+            stream_id = batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+            pipeline.apply_rows(rows, mapping_ids, f"{stream_id}/{epoch}")
         finally:
             rows.unpersist()
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowgraft.operators.skew import ensure_checkpoint_dir
-from rowgraft.sources.relations import normalised, spread
+from rowgraft.sources.relations import normalised
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,14 @@ def query(name: str, sql: str | None = None):
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def spread(df: DataFrame, least_rows: int = 100_000) -> DataFrame:
+    """The given tables are files of one row group each, which one core would read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or df.count() < least_rows:
+        return df
+    return df.repartition(cores)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _TABLES:

@@ -10,7 +10,7 @@ import pytest
 
 from rowgraft.operators import merge
 from rowgraft.session import small_frame
-from rowgraft.sinks import export_graph, register
+from rowgraft.sinks import export_graph, register, rows
 from rowgraft.sources.graphs import existing_edges
 
 NODES = [
@@ -98,8 +98,15 @@ def test_json_rows(spark, graph, tmp_path):
 
 def test_typed_csv(spark, graph, tmp_path):
     export_graph("typed_csv", *graph, str(tmp_path / "g"), types={"Order": {"amount": "Int", "a-b": "Double"}})
-    lines = joined(tmp_path / "g" / "nodes").splitlines()  # every file has the header
-    assert set(lines) == {"~id,~label,amount:Int,a-b:Double", "Link_1,Order,100,"}
+    lines = [x for f in glob.glob(f"{tmp_path}/g/nodes/Order/part-*") for x in open(f).read().splitlines()]  # every file has the header
+    assert set(lines) == {"~id,~label,amount:Int,a-b:Double,a_b:String,none:String", "Link_1,Order,100,,second,"}
+
+
+def test_typed_csv_writes_every_label(spark, graph, tmp_path):
+    unread = rows.write_typed_csv(*graph, str(tmp_path / "g"), {"Order": {"amount": "Int", "a-b": "Double"}})
+    assert unread == {"nodes/Customer": 0, "nodes/Order": 1, "edges/REFERENCES": 0}
+    lines = joined(tmp_path / "g" / "edges").splitlines()
+    assert set(lines) == {"~id,~from,~to,~label,since:String", "edge1,Link_1,Customer_42,REFERENCES,2024"}
 
 
 def test_batches(spark, tmp_path):
