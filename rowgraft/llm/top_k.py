@@ -24,7 +24,7 @@ K = 5
 #: Rows of a block of data and of a group of queries, and of a leaf of either tree; fewer queries
 #: share a leaf, as the worst of them decides what may be passed over.  Every group meets all
 #: data, so groups are large.
-BLOCK, GROUP, LEAF, QUERY_LEAF = 8192, 8192, 256, 64
+BLOCK, GROUP, LEAF, QUERY_LEAF = 8192, 8192, 1024, 32
 #: Centres a node is split into at most, where half its radius needs more.
 WIDEST = 32
 
