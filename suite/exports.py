@@ -36,26 +36,43 @@ def export_csv_rows(spark, sf):
 
 
 @query("export_typed_columns", """
-    select 'Customer_' || c_custkey as "~id", 'Customer' as "~label", c_custkey as "c_custkey:Long", c_acctbal as "c_acctbal:Double", cast(null as integer) as "c_name:Int" from customer
+    select 'Customer_' || c_custkey as "~id", 'Customer' as "~label", c_custkey as "c_custkey:Long", c_acctbal as "c_acctbal:Double", cast(null as integer) as "c_name:Int",
+        cast(null as varchar) as "~from", cast(null as varchar) as "~to", cast(null as bigint) as "o_orderkey:Long", cast(null as timestamp) as "o_orderdate:DateTime" from customer
+    union all select 'PLACED_BY_' || o_orderkey, 'PLACED_BY', null, null, null, 'Order_' || o_orderkey, 'Customer_' || o_custkey, o_orderkey, o_orderdate from orders
 """)
 def export_typed_columns(spark, sf):
-    return rows.typed_columns(quoted_customers(spark, sf), rows.NODE_ROW, {"c_custkey": "Long", "c_acctbal": "Double", "c_name": "Int"})
+    nodes = rows.typed_columns(quoted_customers(spark, sf), rows.NODE_ROW, {"c_custkey": "Long", "c_acctbal": "Double", "c_name": "Int"})
+    edges = rows.typed_columns(edge_frame(mapped(spark, sf, models.PLACED_BY)), rows.EDGE_ROW, {"o_orderkey": "Long", "o_orderdate": "DateTime"})
+    return nodes.unionByName(edges, allowMissingColumns=True)
+
+
+def both_json_rows(spark, sf, types=None):
+    nodes = rows.json_rows(quoted_customers(spark, sf), rows.NODE_ROW, types)
+    edges = rows.json_rows(edge_frame(mapped(spark, sf, models.PLACED_BY)), rows.EDGE_ROW, types)
+    return nodes.unionByName(edges, allowMissingColumns=True)
+
+
+def json_edges(key: str) -> str:
+    shown = f"""'{{"o_orderkey":' || {key} || ',"o_orderdate":"' || {instant('o_orderdate')} || '"}}'"""
+    return f"select 'PLACED_BY_' || o_orderkey, 'Order_' || o_orderkey, 'Customer_' || o_custkey, 'PLACED_BY', {shown} from orders"
 
 
 @query("export_json_rows", f"""
-    select 'Customer_' || c_custkey as id, 'Customer' as label, '{{"c_custkey":"' || c_custkey || '","c_name":"' || replace({NAME}, '"', '\\"') || '","c_acctbal":"' || c_acctbal || '","c_mktsegment":'
+    select 'Customer_' || c_custkey as id, cast(null as varchar) as from_id, cast(null as varchar) as to_id, 'Customer' as label, '{{"c_custkey":"' || c_custkey || '","c_name":"' || replace({NAME}, '"', '\\"') || '","c_acctbal":"' || c_acctbal || '","c_mktsegment":'
         || coalesce('"' || {SEGMENT} || '"', 'null') || '}}' as properties from customer
+    union all {json_edges("'\"' || o_orderkey || '\"'")}
 """)
 def export_json_rows(spark, sf):
-    return rows.json_rows(quoted_customers(spark, sf), rows.NODE_ROW)
+    return both_json_rows(spark, sf)
 
 
 @query("export_json_typed", f"""
-    select 'Customer_' || c_custkey as id, 'Customer' as label, '{{"c_custkey":' || c_custkey || ',"c_name":"' || replace({NAME}, '"', '\\"') || '","c_acctbal":' || c_acctbal || ',"c_mktsegment":'
+    select 'Customer_' || c_custkey as id, cast(null as varchar) as from_id, cast(null as varchar) as to_id, 'Customer' as label, '{{"c_custkey":' || c_custkey || ',"c_name":"' || replace({NAME}, '"', '\\"') || '","c_acctbal":' || c_acctbal || ',"c_mktsegment":'
         || coalesce('"' || {SEGMENT} || '"', 'null') || '}}' as properties from customer
+    union all {json_edges('o_orderkey')}
 """)
 def export_json_typed(spark, sf):
-    return rows.json_rows(quoted_customers(spark, sf), rows.NODE_ROW, {"c_custkey": "Long", "c_acctbal": "Double", "c_name": "Int"})
+    return both_json_rows(spark, sf, {"c_custkey": "Long", "c_acctbal": "Double", "c_name": "Int", "o_orderkey": "Long"})
 
 
 
@@ -83,6 +100,10 @@ NODE_SEQ = """(select id, row_number() over (order by substr(md5(id), 1, 3), id)
         || '    c_custkey "' || c_custkey || '"' || chr(10) || '    c_name "' || {gml_escaped(NAME)} || '"' || chr(10) || '    c_acctbal "' || c_acctbal || '"'
         || coalesce(chr(10) || '    c_mktsegment "' || {SEGMENT} || '"', '') || chr(10) || '  ]' as text
     from customer join n on n.id = 'Customer_' || c_custkey
+    union all select 'node', n.id, '  node [' || chr(10) || '    id ' || seq || chr(10) || '    label "' || n.id || '"' || chr(10) || '    entity_label "Order"' || chr(10)
+        || '    o_orderkey "' || o_orderkey || '"' || chr(10) || '    o_orderstatus "' || o_orderstatus || '"' || chr(10) || '    o_totalprice "' || o_totalprice || '"' || chr(10)
+        || '    o_orderdate "' || {instant('o_orderdate')} || '"' || chr(10) || '    o_orderpriority "' || o_orderpriority || '"' || chr(10) || '  ]'
+    from orders join n on n.id = 'Order_' || o_orderkey
     union all select 'edge', 'PLACED_BY_' || o_orderkey, '  edge [' || chr(10) || '    source ' || a.seq || chr(10) || '    target ' || b.seq || chr(10)
         || '    key "PLACED_BY_' || o_orderkey || '"' || chr(10) || '    entity_label "PLACED_BY"' || chr(10) || '    edge_id "PLACED_BY_' || o_orderkey || '"' || chr(10)
         || '    o_orderkey "' || o_orderkey || '"' || chr(10) || '    o_orderdate "' || {instant('o_orderdate')} || '"' || chr(10) || '  ]'
@@ -91,7 +112,7 @@ NODE_SEQ = """(select id, row_number() over (order by substr(md5(id), 1, 3), id)
 def export_gml(spark, sf):
     buyers = quoted_customers(spark, sf)
     placed = gml.node_numbers(buyers.unionByName(node_frame(mapped(spark, sf, models.ORDER))))
-    nodes = gml.node_records(placed).where(F.startswith("id", F.lit("Customer_"))).select(F.lit("node").alias("kind"), "id", "text")
+    nodes = gml.node_records(placed).select(F.lit("node").alias("kind"), "id", "text")
     edges = gml.edge_records(edge_frame(mapped(spark, sf, models.PLACED_BY)), placed, True)
     return nodes.unionByName(edges.select(F.lit("edge").alias("kind"), "id", "text"))
 

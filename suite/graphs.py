@@ -1,7 +1,9 @@
 """Edges, merges, deletes and tags."""
 
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowgraft import MappingSpec, SourceSpec
@@ -210,8 +212,9 @@ def tenant_partition(spark, sf):
 @query("graph_totals", """
     select 'Order' as label, count(*) as n from orders union all select 'Customer', count(*) from customer
     union all select 'Line', count(*) from (select distinct * from lineitem) union all select 'Part', count(*) from part
+    union all select 'Region', count(*) from region union all select 'Nation', count(*) from nation union all select 'Supplier', count(*) from supplier
+    union all select 'IN_REGION', count(*) from nation union all select 'FROM_NATION', count(*) from customer union all select 'PLACED_BY', count(*) from orders
+    union all select 'OF_PART', count(*) from (select distinct l_linenumber, l_orderkey, l_partkey from lineitem)
 """)
 def graph_totals(spark, sf):
-    specs = (models.ORDER, models.CUSTOMER, models.LINE, models.PART)
-    frames = [node_frame(mapped(spark, sf, s)) for s in specs]
-    return merge.totals(frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3]))
+    return merge.totals(reduce(DataFrame.unionByName, [mapped(spark, sf, s).where("id is not null").select("label") for s in models.ALL]))

@@ -137,16 +137,25 @@ def props_typed_text(spark, sf):
     return rows.select("event_id", *[typed_text(F.col(c), rows.schema[c].dataType, k).alias(n) for n, (c, k) in kinds.items()])
 
 
-@query("type_map", """
-    select p_partkey, case p_size % 10 when 0 then 'Long' when 1 then 'Int' when 2 then 'Bool' when 3 then 'Double' when 4 then 'Float' when 5 then 'DateTime'
-        when 6 then 'Date' when 7 then 'Int' else 'String' end as property_type
+# All type codes of a catalog, with a code that no catalog knows at the end.
+TYPE_CODES = (
+    "array bigint binary bit blob boolean char clob datalink date decimal distinct double float integer json longvarbinary longvarchar "
+    "null numeric object other real refcursor ref rowid smallint struct timestamp timestampwithtimezone time timewithtimezone tinyint varbinary varchar xml unheard"
+).split()
+CODE_LIST = "[" + ", ".join(f"'{c}'" for c in TYPE_CODES) + "]"
+
+
+@query("type_map", f"""
+    select p_partkey, {CODE_LIST}[p_partkey % {len(TYPE_CODES)} + 1] as code, case {CODE_LIST}[p_partkey % {len(TYPE_CODES)} + 1]
+        when 'bigint' then 'Long' when 'bit' then 'Bool' when 'boolean' then 'Bool' when 'date' then 'Date' when 'decimal' then 'Double' when 'double' then 'Double'
+        when 'float' then 'Float' when 'integer' then 'Int' when 'numeric' then 'Float' when 'real' then 'Double' when 'smallint' then 'Int' when 'timestamp' then 'DateTime'
+        when 'timestampwithtimezone' then 'DateTime' when 'time' then 'DateTime' when 'timewithtimezone' then 'DateTime' when 'tinyint' then 'Int' else 'String' end as property_type
     from part
 """)
 def type_map(spark, sf):
-    codes = ["bigint", "smallint", "bit", "decimal", "numeric", "time", "date", "tinyint", "xml", "unheard"]
     rows = table(spark, sf, "part")
-    code = F.concat(F.lit("bi.flow.types."), F.element_at(F.array(*[F.lit(c) for c in codes]), F.col("p_size") % 10 + 1))
-    return rows.select("p_partkey", property_type(code).alias("property_type"))
+    code = F.element_at(F.array(*[F.lit(c) for c in TYPE_CODES]), (F.col("p_partkey") % len(TYPE_CODES) + 1).cast("int"))
+    return rows.select("p_partkey", code.alias("code"), property_type(F.concat(F.lit("bi.flow.types."), code)).alias("property_type"))
 
 
 @query("props_sanitized_keys", """
@@ -168,12 +177,16 @@ def props_sanitized_keys(spark, sf):
     return rows.select(F.col("event_id").alias("id"), F.explode(properties.with_valid_keys(props)).alias("key", "value"))
 
 
-@query("props_container", "select 'Vec_' || vec_id as id, cast(len(embedding) as bigint) as n, cast(label as varchar) as label_text from embeddings")
+@query("props_container", """
+    select 'Vec_' || vec_id as id, array_to_string([cast(floor(cast(x as double) * 1e9) as bigint) for x in embedding], ',') as billionths, cast(label as varchar) as label_text
+    from embeddings
+""")
 def props_container(spark, sf):
     spec = MappingSpec("m", "Vec", attributes=models.attrs("embedding", "label", ids=("vec_id",)), unique_ids=True)
     found = elements(table(spark, sf, "embeddings"), spec, {})
-    size = F.size(F.from_json(F.col("props")["embedding"], "array<double>")).cast("long")
-    return found.select("id", size.alias("n"), F.col("props")["label"].alias("label_text"))
+    values = F.from_json(F.col("props")["embedding"], "array<float>")
+    shown = F.array_join(F.transform(values, lambda x: F.floor(x.cast("double") * F.lit(1e9)).cast("long").cast("string")), ",")
+    return found.select("id", shown.alias("billionths"), F.col("props")["label"].alias("label_text"))
 
 
 @query("props_text", """
