@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from rowgraft.llm.common import numbered
+from rowgraft.llm.common import durable, numbered
 
 #: Shorter lines ("Chapter 1", "Yes.") recur by chance and stay.
 LEAST_WORDS = 5
@@ -61,8 +61,10 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("rid"), F.col("start"))
     ranked = lines.join(own.select("rid", "id"), "rid")
     first = ranked.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join reads two plain exchanges and a very common line is split there.
+    first = durable(first.select("h1", "h2", F.col("first.rid").alias("first_rid"), F.col("first.start").alias("first_start")))
     gone = (
-        ranked.join(first.select("h1", "h2", F.col("first.rid").alias("first_rid"), F.col("first.start").alias("first_start")), ["h1", "h2"])
+        ranked.join(first, ["h1", "h2"])
         .where("rid <> first_rid or start <> first_start")
         .select("rid", F.lit(0).alias("lines"), F.struct("start", "end").alias("span"))
     )
@@ -89,5 +91,3 @@ def without_spans(text: pd.Series, spans: pd.Series) -> pd.Series:
 def spans_text(spans: Column) -> Column:
     """Spans as "start-end,start-end"."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
