@@ -250,6 +250,16 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def grouped(marked: DataFrame, distinct: DataFrame, links: DataFrame, id_column: str) -> DataFrame:
+    """The rows (id, fp) with ``component_id``, the smallest ``least`` of the distinct ones (fp, least)
+    that the links reach."""
+    member = components(links)
+    rooted = distinct.join(member, distinct.fp == member.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = durable(rooted.join(smallest, "root").select("fp", "component_id"))
+    return marked.join(known, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: its id, ``fp`` and ``component_id``, the smallest id reachable
     over links of at most ``radius`` differing bits.
@@ -260,9 +270,4 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     marked = durable(fingerprints(docs, id_column, text_column))
     distinct = durable(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    member = components(near_links(distinct.select("fp"), radius))
-    rooted = distinct.join(member, distinct.fp == member.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = durable(rooted.join(smallest, "root").select("fp", "component_id"))
-    return marked.join(known, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
-
+    return grouped(marked, distinct, near_links(distinct.select("fp"), radius), id_column)
