@@ -17,12 +17,15 @@ Passes, from coarse to fine; a group of one drops out after each:
 Groups are formed by digests of 128 bits with partial counts, so a passage that a third of
 the documents have travels as one row per task.  The texts are exchanged once, to meet the
 rows that are left, and that exchange serves passes 2 and 3 and the cutting.
+
+Passages of so many words go through the same passes beside the strings, as texts of ``TOKEN``
+bytes a word, the word's hash; the windows that count begin where a word does.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import CHUNK, pieces_of, slices, written
+from rowgraft.llm.common import CHUNK, NOT_BLANK, pieces_of, slices, written
 
 LENGTH = 400
 GRAM = 64
 STEP = 32
+#: Bytes that stand for a word.
+TOKEN = 4
 #: A key is heavy when it has more than one in so many runs.
 HEAVY = 1000
 _PLACES = np.uint64((1 << 24) - 1)
@@ -67,9 +72,24 @@ def _least(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(key[: len(key) - (width - n)], key[width - n :]) if n < width else key
 
 
-def contexts_of(data: bytes, ends: list[int], length: int, gram: int) -> tuple[np.ndarray, ...]:
+def as_tokens(text: bytes) -> bytes:
+    """``TOKEN`` bytes for each word, a run of bytes without blanks."""
+    return b"".join(map(xxhash.xxh32_digest, text.split()))
+
+
+def few_words(data: np.ndarray, length: int, words: int) -> np.ndarray:
+    """Which runs of ``length`` bytes hold fewer whole words.  Only the bytes inside tell, so equal
+    runs agree; a word without a blank on either side may go on outside and is not whole."""
+    within = NOT_BLANK[data]
+    ended = np.cumsum(np.r_[False, within[:-1] & ~within[1:]])
+    n = len(data) - length + 1
+    return ended[length - 1 :] - ended[:n] - within[:n] < words
+
+
+def contexts_of(data: bytes, ends: list[int], length: int, gram: int, fewer: int | None = None) -> tuple[np.ndarray, ...]:
     """Runs of neighbouring windows with one sampled gram, in texts laid end to end:
-    (first window, number of windows, hash of the gram, place of the gram)."""
+    (first window, number of windows, hash of the gram, place of the gram).  With ``fewer`` only
+    windows of fewer whole words count."""
     none = tuple(np.zeros(0, np.int64) for _ in range(4))
     if len(data) < length:
         return none
@@ -80,6 +100,8 @@ def contexts_of(data: bytes, ends: list[int], length: int, gram: int) -> tuple[n
     inside = np.ones(len(low), bool)
     for e in ends[:-1]:
         inside[max(0, e - length + 1) : e] = False
+    if fewer is not None:
+        inside &= few_words(np.frombuffer(data, np.uint8), length, fewer)
     window = np.flatnonzero(inside)
     if not len(window):
         return none
@@ -89,7 +111,7 @@ def contexts_of(data: bytes, ends: list[int], length: int, gram: int) -> tuple[n
     return window[begin], count, h[at[begin]].view(np.int64), at[begin]
 
 
-def _segments(rids: list[int], texts: list[bytes], length: int, most: int) -> Iterator[tuple[int, int, bytes]]:
+def _segments(rids: list[int], texts: Iterable[bytes], length: int, most: int) -> Iterator[tuple[int, int, bytes]]:
     """(rid, offset, bytes): a long text in stretches that share ``length`` - 1 bytes, so that each
     window lies in exactly one."""
     for rid, text in zip(rids, texts):
@@ -103,44 +125,57 @@ def _longs(hashes: list[int]) -> np.ndarray:
 
 
 #: Windows ``first`` to ``first + windows - 1`` of a text, ``at`` the distance from the first to the
-#: sampled gram, ``alone``: not known to be repeated; g and c are the two digits.
-UNIT = "rid long, first int, windows int, at int, alone boolean, g long, c long"
+#: sampled gram, ``alone``: not known to be repeated; ``tokens``: of the text as tokens; g and c are
+#: the two digits.
+UNIT = "rid long, first int, windows int, at int, alone boolean, tokens boolean, g long, c long"
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int, words: int | None) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
-        segments = list(_segments(batch["rid"].to_pylist(), texts, length, CHUNK))
-        for a, b in pieces_of(segments, size=lambda s: len(s[2])):
-            part = segments[a:b]
-            data = b"".join(s[2] for s in part)
-            ends = np.cumsum([len(s[2]) for s in part])
-            first, count, g, at = contexts_of(data, ends.tolist(), length, gram)
-            owner = np.searchsorted(ends, first, side="right")
-            shift = np.array([s[1] for s in part], np.int64) - np.r_[0, ends[:-1]]
-            stop = first + count + length - 1
-            c = _longs([xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(first.tolist(), stop.tolist())])
-            rid = np.array([s[0] for s in part], np.int64)[owner]
-            yield _units(rid, first + shift[owner], count, at - first, np.ones(len(first), bool), g, c)
-
-
-def _units(rid, first, windows, at, alone, g, c) -> pa.RecordBatch:
-    columns = [pa.array(np.asarray(rid, np.int64)), *[pa.array(np.asarray(x, np.int32)) for x in (first, windows, at)], pa.array(np.asarray(alone, bool)), pa.array(g), pa.array(c)]
-    return pa.RecordBatch.from_arrays(columns, ["rid", "first", "windows", "at", "alone", "g", "c"])
-
-
-def _left(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[tuple[int, bytes, np.ndarray, ...]]:
-    """(rid, text, first, windows, at, alone) of each text with the runs left in it."""
+        rids = batch["rid"].to_pylist()
+        yield from _contexts_of(rids, texts, length, gram, words, False)
+        if words is not None:
+            yield from _contexts_of(rids, map(as_tokens, texts), words * TOKEN, gram, None, True)
+
+
+def _contexts_of(rids: list[int], texts: Iterable[bytes], length: int, gram: int, fewer: int | None, tokens: bool) -> Iterator[pa.RecordBatch]:
+    segments = list(_segments(rids, texts, length, CHUNK))
+    for a, b in pieces_of(segments, size=lambda s: len(s[2])):
+        part = segments[a:b]
+        data = b"".join(s[2] for s in part)
+        ends = np.cumsum([len(s[2]) for s in part])
+        first, count, g, at = contexts_of(data, ends.tolist(), length, gram, fewer)
+        owner = np.searchsorted(ends, first, side="right")
+        shift = np.array([s[1] for s in part], np.int64) - np.r_[0, ends[:-1]]
+        stop = first + count + length - 1
+        c = _longs([xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(first.tolist(), stop.tolist())])
+        rid = np.array([s[0] for s in part], np.int64)[owner]
+        yield _units(rid, first + shift[owner], count, at - first, np.ones(len(first), bool), tokens, g, c)
+
+
+def _units(rid, first, windows, at, alone, tokens, g, c) -> pa.RecordBatch:
+    flags = [pa.array(np.asarray(alone, bool)), pa.array(np.full(len(first), tokens))]
+    columns = [pa.array(np.asarray(rid, np.int64)), *[pa.array(np.asarray(x, np.int32)) for x in (first, windows, at)], *flags, pa.array(g), pa.array(c)]
+    return pa.RecordBatch.from_arrays(columns, ["rid", "first", "windows", "at", "alone", "tokens", "g", "c"])
+
+
+def _left(batch: pa.RecordBatch, texts: list[bytes], length: int, words: int | None) -> Iterator[tuple[int, bytes, int, bool, np.ndarray, ...]]:
+    """(rid, text, length, tokens, first, windows, at, alone) of each text with the runs left in it,
+    those of the text as tokens apart."""
     own = batch["left"]
-    fields = [own.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("first", "windows", "at", "alone")]
+    *fields, kind = [own.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("first", "windows", "at", "alone", "tokens")]
     stop = np.cumsum(own.value_lengths().to_numpy())
     for i, (rid, text) in enumerate(zip(batch["rid"].to_pylist(), texts)):
         a, b = (stop[i - 1] if i else 0), stop[i]
-        yield rid, text, *[f[a:b].astype(np.int64) for f in fields]
+        for tokens in (False, True):
+            of = kind[a:b].astype(bool) == tokens
+            if of.any():
+                yield rid, as_tokens(text) if tokens else text, words * TOKEN if tokens else length, tokens, *[f[a:b][of].astype(np.int64) for f in fields]
 
 
-def _steps(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterator[pa.RecordBatch]:
+def _steps(batches: Iterator[pa.RecordBatch], all_length: int, step: int, words: int | None) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
-        for rid, text, first, windows, at, alone in _left(batch, texts):
+        for rid, text, length, tokens, first, windows, at, alone in _left(batch, texts, all_length, words):
             low, high = at - windows + 1, at  # distances from windows to the gram
             n = high // step - low // step + 1
             i = np.repeat(np.arange(len(first)), n)
@@ -150,17 +185,17 @@ def _steps(batches: Iterator[pa.RecordBatch], length: int, step: int) -> Iterato
             begin, shared = gram - far, gram - block * step
             g = _longs([xxhash.xxh3_64_intdigest(text[x : x + length - step + 1]) for x in shared.tolist()])
             c = _longs([xxhash.xxh3_64_intdigest(text[x:y], 1) for x, y in zip(begin.tolist(), (gram - near + length).tolist())])
-            yield _units(np.full(len(i), rid), begin, far - near + 1, np.zeros(len(i)), alone[i] != 0, g, c)
+            yield _units(np.full(len(i), rid), begin, far - near + 1, np.zeros(len(i)), alone[i] != 0, tokens, g, c)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], all_length: int, words: int | None) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
-        for rid, text, first, windows, _, alone in _left(batch, texts):
+        for rid, text, length, tokens, first, windows, _, alone in _left(batch, texts, all_length, words):
             i = np.repeat(np.arange(len(first)), windows)
             at = first[i] + np.arange(len(i)) - np.repeat(np.cumsum(windows) - windows, windows)
             both = b"".join([xxhash.xxh3_128_digest(text[x : x + length]) for x in at.tolist()])
             g, c = np.frombuffer(both, np.int64).reshape(-1, 2).T.copy()
-            yield _units(np.full(len(i), rid), at, np.ones(len(i)), np.zeros(len(i)), alone[i] != 0, g, c)
+            yield _units(np.full(len(i), rid), at, np.ones(len(i)), np.zeros(len(i)), alone[i] != 0, tokens, g, c)
 
 
 def _matching(rows: DataFrame, keys: DataFrame, on: list[str], heavy: int) -> DataFrame:
@@ -179,7 +214,7 @@ def _sorted_out(units: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
     """One pass: (runs found to be repeated, runs that need a finer pass).
 
     Of a context that occurs twice one run goes on, not alone, for others to be compared with."""
-    contexts = units.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "first", "windows", "at")).alias("one"), F.max("alone").alias("alone"))
+    contexts = units.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "first", "windows", "at", "tokens")).alias("one"), F.max("alone").alias("alone"))
     alone = F.expr("n = 1 and alone")
     grams = contexts.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max(alone).alias("open")).where("n > 1 and open")
     left = _matching(contexts.select("g", "one", alone.alias("alone")), grams, ["g"], heavy).select("one.*", "alone")
@@ -188,33 +223,44 @@ def _sorted_out(units: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
 
 def _repeated(units: DataFrame, heavy: int) -> DataFrame:
     twice = units.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return _matching(units.where("alone").select("g", "c", "rid", "first", "windows"), twice, ["g", "c"], heavy).select("rid", "first", "windows")
+    return _matching(units.where("alone").select("g", "c", "rid", "first", "windows", "tokens"), twice, ["g", "c"], heavy).select("rid", "first", "windows", "tokens")
 
 
 def _meeting(texts: DataFrame, left: DataFrame) -> DataFrame:
-    return texts.join(left.groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "at", "alone")).alias("left")), "rid")
+    return texts.join(left.groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "at", "alone", "tokens")).alias("left")), "rid")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _word_span(run: dict, text: bytes, edges: list[np.ndarray], words: int) -> list[list[int]]:
+    """Byte offsets of the words of a run of token windows; ``edges`` keeps those of the text's words."""
+    if not edges:
+        edges.append(np.flatnonzero(np.diff(NOT_BLANK[np.frombuffer(text, np.uint8)], prepend=False, append=False)).reshape(-1, 2))
+    a, b = -(-run["first"] // TOKEN), (run["first"] + run["windows"] - 1) // TOKEN
+    return [[int(edges[0][a, 0]), int(edges[0][b + words - 1, 1])]] if a <= b else []
+
+
+def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None) -> Iterator[pa.RecordBatch]:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch, texts in slices(batches):
         size, spans, kept = [], [], []
         for text, runs in zip(texts, batch["runs"].to_pylist()):
             found: list[list[int]] = []
-            for r in sorted(runs or (), key=lambda r: r["first"]):
-                a, b = r["first"], r["first"] + r["windows"] - 1 + length
+            own: list[list[int]] = []
+            edges: list[np.ndarray] = []
+            for r in runs or ():
+                own += _word_span(r, text, edges, words) if r["tokens"] else [[r["first"], r["first"] + r["windows"] - 1 + length]]
+            for a, b in sorted(own):
                 if found and a <= found[-1][1]:
                     found[-1][1] = max(found[-1][1], b)
                 else:
                     found.append([a, b])
-            edges = [0, *[x for s in found for x in s], len(text)]
+            cuts = [0, *[x for s in found for x in s], len(text)]
             size.append(len(text))
             spans.append([{"start": a, "end": b} for a, b in found])
-            kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
+            kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
         yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["rid", "n_bytes", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP) -> DataFrame:
+def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None) -> DataFrame:
     """One row per row of ``docs`` (which has a column rid, see ``numbered``): rid, n_bytes,
     ``spans`` (byte offsets removed, maximal and in order) and ``kept`` (the other bytes).
 
@@ -223,17 +269,20 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
     texts shorter than ``length`` stay whole; of equal texts nothing stays, as each repeats
     the other.  ``kept`` may begin or end within a character.  Repeated rows are separate
     texts.  An empty table gives no rows.  Other columns are not read.
+
+    With ``words``, every passage of so many words that occurs at another place goes instead,
+    whatever its bytes and the blanks between, and of the strings of ``length`` bytes those
+    that hold fewer whole words (text without blanks has few).
     """
     texts = docs.select("rid", F.col(text_column).alias("text"))
-    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram), UNIT))
+    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words), UNIT))
     heavy = every.count() // HEAVY + 1
     units = written(_matching(every, every.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
     done, left = _sorted_out(units, heavy)
-    steps = _meeting(texts, left).mapInArrow(lambda b: _steps(b, length, step), UNIT)
+    steps = _meeting(texts, left).mapInArrow(lambda b: _steps(b, length, step, words), UNIT)
     done_2, left_2 = _sorted_out(steps, heavy)
-    windows = _meeting(texts, left_2).mapInArrow(lambda b: _windows(b, length), UNIT)
+    windows = _meeting(texts, left_2).mapInArrow(lambda b: _windows(b, length, words), UNIT)
     done_3 = _repeated(windows, heavy)
-    runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows")).alias("runs"))
+    runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "tokens")).alias("runs"))
     met = texts.join(runs, "rid", "left")
-    return met.mapInArrow(lambda b: _cut(b, length), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-
+    return met.mapInArrow(lambda b: _cut(b, length, words), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
