@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rowgraft.operators.skew import durable, ensure_checkpoint_dir
 
 __all__ = [
-    "NOT_BLANK", "WORD", "Joined", "crc_of", "documents", "durable", "free_name", "numbered", "pieces_of", "slices", "table", "text_bytes", "words_of", "written",
+    "NOT_BLANK", "WORD", "Joined", "crc_of", "documents", "durable", "free_name", "numbered", "pieces_of", "slices", "table", "text_bytes", "unit_ends", "words_of", "written",
 ]
 
 #: Bytes of text that a task turns into arrays at a time.
@@ -112,3 +112,15 @@ def words_of(texts: list[bytes], inside: np.ndarray) -> tuple[pa.Array, np.ndarr
     words = pa.Array.from_buffers(pa.binary(), len(turns), [None, pa.py_buffer(offsets), pa.py_buffer(joined[within])])
     begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
     return words, np.diff(np.searchsorted(turns[:, 0], begin))
+
+
+def unit_ends(joined: Joined) -> np.ndarray:
+    """Where the units of the joined texts end, in order: a unit is a word with the blanks before
+    it, or what blanks a text ends with.  No unit goes over the end of its text."""
+    inside = NOT_BLANK[joined.bytes]
+    last = np.zeros(len(inside) + 1, bool)
+    last[1:][inside] = True
+    last[1:-1] &= ~inside[1:]
+    last[joined.end] = True
+    last[0] = False
+    return np.flatnonzero(last)

@@ -17,6 +17,13 @@ def _canonical(text: str) -> str:
     return f"array_to_string(list_transform({words}, lambda w: coalesce({spellings}[w], w)), ' ')"
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text: each byte goes into the state, then eight steps (-1)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    state = f"list_reduce(list_prepend(4294967295::bigint, {steps}), lambda s, x: case when x >= 0 then xor(s, x) else xor(s >> 1, 3988292384 * (s & 1)) end)"
+    return f"xor({state}, 4294967295)"
+
+
 _KNOWN = ", ".join(f"({_text(a)}, {_text(b)})" for a, b in KNOWN.items())
 
 ORACLES = {
@@ -67,4 +74,44 @@ with fit as (
 )
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
+    "op11_prefix_trie": f"""
+with turns as (
+    select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k
+    from conversations where conv_id is not null
+), convs as (
+    select distinct c, c - c % 20 as base, {_crc32("c::varchar")} % 4 as h from turns
+), placed as (
+    select v.c, 0 as own, k, role, text from convs v join turns t on t.c = v.base where k <= h
+    union all
+    select v.c, 1 as own, k, role, text from convs v join turns t on t.c = v.c where k > h
+), seqs as (
+    select c, coalesce(list(md5(length(role) || ':' || role || text) order by own, k) filter (k is not null), []) as turns,
+        coalesce(list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) order by own, k) filter (k is not null), []) as words
+    from convs left join placed using (c) group by c
+), members as (
+    select c, d, array_to_string(turns[1:d], '') as key, coalesce(words[d], 0) as words, len(turns) = d as ends
+    from (select *, unnest(range(0, len(turns) + 1)) as d from seqs)
+), nodes as (
+    select key, d, min(c) as conv_id, count(*) as n_convs, any_value(words) as words, string_agg(c::varchar, ',' order by c) filter (ends) as ends from members group by key, d
+), down as (
+    select a.key, count(*) filter (not exists (select 1 from nodes x where x.d = b.d + 1 and starts_with(x.key, b.key))) as n_leaves,
+        sum((b.n_convs - 1) * b.words) as saved_tokens, count(*) filter (b.d = a.d + 1) as n_children
+    from nodes a join nodes b on starts_with(b.key, a.key) group by a.key
+)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens::bigint as saved_tokens, sha256(coalesce(n.ends, '')) as ends_sha256
+from nodes n join down using (key) left join nodes p on p.d = n.d - 1 and p.key = left(n.key, 32 * (n.d - 1)::int)""",
+    "op12_fill_middle": f"""
+with cut as (
+    select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') as u,
+        list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), k, 8))::bigint) as h
+    from documents
+), picked as (
+    select *, len(u) as n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as b,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 50 then 'plain' when h[4] % 100 < 80 then 'spm' else 'psm' end as form
+    from cut
+), parts as (select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:], '') as s from picked)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+    sha256(case form when 'plain' then t when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+    sha256(case form when 'plain' then t else p || m || s end) as restored_sha256
+from parts""",
 }

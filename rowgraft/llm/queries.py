@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgraft.llm import decontamination, language_id, licenses, line_dedup, pieces, ppm, repeats, sharding, simhash, top_k
+from rowgraft.llm import decontamination, fill_middle, language_id, licenses, line_dedup, packing, pieces, ppm, prefix_trie, repeats, sharding, simhash, top_k
 from rowgraft.llm.common import crc_of, documents, numbered, table
 from rowgraft.llm.oracles import ORACLES
 
@@ -103,3 +103,24 @@ def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     found = top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt to share their first turns."""
+    rows, convs = prefix_trie.rebuilt(prefix_trie.turn_hashes(table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(rows, convs)
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for filling in the middle, and its text rebuilt from the output."""
+    cut = fill_middle.fill_in_middle(documents(spark, sf_dir).select("doc_id", "text"))
+    digest, again = F.sha2("output", 256), F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256)
+    return cut.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", digest.alias("output_sha256"), again.alias("restored_sha256"))
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.packed(documents(spark, sf_dir))
