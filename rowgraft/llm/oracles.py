@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from rowgraft.llm.licenses import KNOWN, SPELLINGS
-from rowgraft.llm.line_dedup import LEAST_WORDS
+from rowgraft.llm.line_dedup import PASSAGE
 
 
 def _text(value: str) -> str:
@@ -29,19 +29,27 @@ _KNOWN = ", ".join(f"({_text(a)}, {_text(b)})" for a, b in KNOWN.items())
 ORACLES = {
     "op1_line_dedup": rf"""
 with split as (
-    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as k from documents
+    select doc_id, unnest(parts) as part, generate_subscripts(parts, 1) as k
+    from (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*?(?:[.!?]+[ \t]+|[。！？]+)|[^\n]+|\n') as parts from documents)
 ), placed as (
-    select doc_id, k, length(line) as n, sum(length(line) + 1) over (partition by doc_id order by k) - length(line) - 1 as pos,
-        trim(regexp_replace(lower(line), '[ \t\r\f\v]+', ' ', 'g'), ' ') as plain
+    select doc_id, k, part, length(part) as n, sum(length(part)) over (partition by doc_id order by k) - length(part) as pos,
+        trim(regexp_replace(lower(part), '[ \t\r\f\v]+', ' ', 'g'), ' ') as plain
     from split
-), counted as (select *, row_number() over (partition by plain order by doc_id, k) as nth from placed where len(string_split(plain, ' ')) >= {LEAST_WORDS} and plain <> ''),
+), counted as (
+    select *, row_number() over (partition by plain order by doc_id, k) as nth, count(*) over (partition by plain) as times, row_number() over (partition by doc_id order by k) as u
+    from placed where plain not in ('', chr(10))
+), runs as (
+    select doc_id, sum(len(string_split(plain, ' '))) as words
+    from (select *, u - row_number() over (partition by doc_id order by u) as run from counted where times > 1) group by doc_id, run
+), passages as (select doc_id, max(words) as words from runs where words >= {PASSAGE} group by doc_id),
 told as (
-    select doc_id, count(*) as n_lines, count(*) filter (nth > 1) as n_removed, coalesce(sum(n) filter (nth > 1), 0) as n_chars_removed,
+    select doc_id, count(*) as n_units, count(*) filter (nth > 1) as n_removed, coalesce(sum(n) filter (nth > 1), 0) as n_chars_removed,
         coalesce(string_agg(pos || '-' || (pos + n), ',' order by k) filter (nth > 1), '') as removed_spans
     from counted group by doc_id
 )
-select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, coalesce(n_chars_removed, 0)::bigint as n_chars_removed, coalesce(removed_spans, '') as removed_spans
-from documents d left join told using (doc_id)""",
+select d.doc_id, coalesce(n_units, 0) as n_units, coalesce(n_removed, 0) as n_removed, coalesce(n_chars_removed, 0)::bigint as n_chars_removed, coalesce(removed_spans, '') as removed_spans,
+    coalesce(words, 0)::bigint as n_passage_words
+from documents d left join told using (doc_id) left join passages using (doc_id)""",
     "op3_license_digest": f"""
 with known as (
     select sha256({_canonical("text")}) as digest, min(license_id) as license_id from (values {_KNOWN}) as v(license_id, text) group by 1

@@ -23,10 +23,14 @@ def query(function):
 
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of every document; the earliest occurrence stays."""
-    found = line_dedup.repeated_lines(documents(spark, sf_dir))
+    """Repeated lines and sentences of every document, the earliest of which stays, and the words
+    of its longest passage of ``PASSAGE`` words or more that occurs elsewhere too (else 0)."""
+    found = line_dedup.repeated_units(documents(spark, sf_dir))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_lines", F.size("spans").cast("long").alias("n_removed"), removed.alias("n_chars_removed"), line_dedup.spans_text(F.col("spans")).alias("removed_spans"))
+    passage = F.when(F.col("passage_words") >= line_dedup.PASSAGE, F.col("passage_words")).otherwise(F.lit(0).cast("long"))
+    return found.select(
+        "doc_id", "n_units", F.size("spans").cast("long").alias("n_removed"), removed.alias("n_chars_removed"), line_dedup.spans_text(F.col("spans")).alias("removed_spans"), passage.alias("n_passage_words")
+    )
 
 
 @query

@@ -31,13 +31,18 @@ def none(docs):
     return docs.where("1 = 0")
 
 
-def test_lines(docs, none):
-    found = {(r.doc_id, r.n_lines): [tuple(s) for s in r.spans] for r in line_dedup.repeated_lines(docs).collect()}
-    assert found[(2, 2)] == [(0, 29), (35, 35 + len(PASSAGE + "é tail"))] or found[(2, 2)] == [(0, 29)]
-    assert found[(8, 1)] == [(0, 20000)] and found[(7, 1)] == [] and found[(1, 2)] == []
-    assert line_dedup.repeated_lines(none).count() == 0
-    kept = docs.where("doc_id = 2").withColumn("spans", F.expr("array(named_struct('start', 0L, 'end', 29L))")).select(line_dedup.without_spans("text", "spans")).first()[0]
-    assert kept.startswith("else\n")
+def test_units(spark, docs, none):
+    found = {(r.doc_id, r.n_units): r for r in line_dedup.repeated_units(docs).collect()}
+    spans = {k: [tuple(s) for s in r.spans] for k, r in found.items()}
+    assert spans[(2, 3)] == [(0, 29)] and found[(2, 3)].passage_words == 6
+    assert spans[(8, 1)] == [(0, 20000)] and spans[(7, 1)] == [] and found[(7, 1)].passage_words == 4000 and spans[(1, 3)] == []
+    assert line_dedup.repeated_units(none).count() == 0
+    short = [(1, "Yes. No one said so!  Yes."), (2, "no one said so! Then\nyes.\n\n好。是的。"), (3, "是的。"), (None, "Then"), (3, "x\nyes."), (4, None)]
+    frame = spark.createDataFrame(short, "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, r.n_units): ([tuple(s) for s in r.spans], r.passage_words) for r in line_dedup.repeated_units(frame).collect()}
+    assert got == {(1, 3): ([(22, 26)], 6), (2, 5): ([(0, 16), (21, 25)], 6), (3, 1): ([(0, 3)], 1), (None, 1): ([(0, 4)], 1), (3, 2): ([(2, 6)], 1), (4, 0): ([], 0)}
+    cut = line_dedup.repeated_units(frame).join(frame.where("doc_id = 2"), "doc_id").select(line_dedup.without_spans("text", "spans")).first()[0]
+    assert cut == "Then\n\n好。是的。"
 
 
 def test_licenses(spark, docs, none):
