@@ -38,6 +38,8 @@ from rowgraft.llm.common import CHUNK, NOT_BLANK, pieces_of, slices, written
 LENGTH = 400
 GRAM = 64
 STEP = 32
+#: Words of a passage that is told where it occurs again.
+PASSAGE = 51
 #: Bytes that stand for a word.
 TOKEN = 4
 #: A key is heavy when it has more than one in so many runs.
@@ -130,10 +132,10 @@ def _longs(hashes: list[int]) -> np.ndarray:
 UNIT = "rid long, first int, windows int, at int, alone boolean, tokens boolean, g long, c long"
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int, words: int | None) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int, words: int | None, apart: bool) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
         rids = batch["rid"].to_pylist()
-        yield from _contexts_of(rids, texts, length, gram, words, False)
+        yield from _contexts_of(rids, texts, length, gram, None if apart else words, False)
         if words is not None:
             yield from _contexts_of(rids, map(as_tokens, texts), words * TOKEN, gram, None, True)
 
@@ -202,11 +204,13 @@ def _matching(rows: DataFrame, keys: DataFrame, on: list[str], heavy: int) -> Da
     """The rows whose key is among ``keys`` (key columns and n, the rows a key has).
 
     Keys with over ``heavy`` rows are few, as ``heavy`` is a share of all rows; they are
-    broadcast, and their rows go round the exchange that deals the others by key.
+    broadcast, and their rows are dealt by a salt of their own beside the key.
     """
     often = F.broadcast(keys.where(F.col("n") > heavy).select(*on, F.lit(True).alias("often")))
-    salt = F.when(F.col("often"), F.xxhash64(*rows.columns)).otherwise(F.lit(0))
-    rare = keys.where(F.col("n") <= heavy).select(*on, F.lit(0).cast("long").alias("salt"), F.lit(True).alias("rare"))
+    salt = F.when(F.col("often"), F.xxhash64(*rows.columns)).otherwise(F.lit(0).cast("long"))
+    # Zero, told by the data: a literal would be folded out of the join, and the salt with it.
+    zero = F.least(F.col("n"), F.lit(0).cast("long"))
+    rare = keys.where(F.col("n") <= heavy).select(*on, zero.alias("salt"), F.lit(True).alias("rare"))
     return rows.join(often, on, "left").withColumn("salt", salt).join(rare, [*on, "salt"], "left").where("often or rare").select(*rows.columns)
 
 
@@ -238,31 +242,44 @@ def _word_span(run: dict, text: bytes, edges: list[np.ndarray], words: int) -> l
     return [[int(edges[0][a, 0]), int(edges[0][b + words - 1, 1])]] if a <= b else []
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None) -> Iterator[pa.RecordBatch]:
+def _covered(spans: list[list[int]]) -> list[list[int]]:
+    """The spans in order, those that touch as one."""
+    found: list[list[int]] = []
+    for a, b in sorted(spans):
+        if found and a <= found[-1][1]:
+            found[-1][1] = max(found[-1][1], b)
+        else:
+            found.append([a, b])
+    return found
+
+
+def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None, apart: bool) -> Iterator[pa.RecordBatch]:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch, texts in slices(batches):
-        size, spans, kept = [], [], []
+        size, spans, kept, told = [], [], [], []
         for text, runs in zip(texts, batch["runs"].to_pylist()):
-            found: list[list[int]] = []
-            own: list[list[int]] = []
+            strings: list[list[int]] = []
+            passages: list[list[int]] = []
             edges: list[np.ndarray] = []
             for r in runs or ():
-                own += _word_span(r, text, edges, words) if r["tokens"] else [[r["first"], r["first"] + r["windows"] - 1 + length]]
-            for a, b in sorted(own):
-                if found and a <= found[-1][1]:
-                    found[-1][1] = max(found[-1][1], b)
+                if r["tokens"]:
+                    passages += _word_span(r, text, edges, words)
                 else:
-                    found.append([a, b])
+                    strings.append([r["first"], r["first"] + r["windows"] - 1 + length])
+            found = _covered(strings if apart else strings + passages)
             cuts = [0, *[x for s in found for x in s], len(text)]
             size.append(len(text))
+            told.append(sum(b - a for a, b in _covered(passages)))
             spans.append([{"start": a, "end": b} for a, b in found])
             kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
-        yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["rid", "n_bytes", "spans", "kept"])
+        columns = [batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary()), pa.array(told, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["rid", "n_bytes", "spans", "kept", "passage_bytes"])
 
 
-def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None, apart: bool = False) -> DataFrame:
     """One row per row of ``docs`` (which has a column rid, see ``numbered``): rid, n_bytes,
-    ``spans`` (byte offsets removed, maximal and in order) and ``kept`` (the other bytes).
+    ``spans`` (byte offsets removed, maximal and in order), ``kept`` (the other bytes) and
+    ``passage_bytes``, those that passages of ``words`` words cover (0 without ``words``).
 
     A byte goes when some string of ``length`` bytes that covers it also starts at another
     place, in the same text or another; strings may overlap.  Null counts as the empty text;
@@ -272,10 +289,11 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
 
     With ``words``, every passage of so many words that occurs at another place goes instead,
     whatever its bytes and the blanks between, and of the strings of ``length`` bytes those
-    that hold fewer whole words (text without blanks has few).
+    that hold fewer whole words (text without blanks has few).  With ``apart`` the strings of
+    ``length`` bytes alone decide what goes, as without ``words``; passages are only measured.
     """
     texts = docs.select("rid", F.col(text_column).alias("text"))
-    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words), UNIT))
+    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words, apart), UNIT))
     heavy = every.count() // HEAVY + 1
     units = written(_matching(every, every.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
     done, left = _sorted_out(units, heavy)
@@ -285,4 +303,4 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
     done_3 = _repeated(windows, heavy)
     runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "tokens")).alias("runs"))
     met = texts.join(runs, "rid", "left")
-    return met.mapInArrow(lambda b: _cut(b, length, words), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return met.mapInArrow(lambda b: _cut(b, length, words, apart), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, passage_bytes long")

@@ -61,3 +61,24 @@ def test_the_stage_cuts_a_short_passage(spark, sf, texts):
     want = list(_cut([(t or "").encode() for t in texts]))
     assert {i: r.text or "" for i, r in out.items()} == {i: t.decode("utf-8", "ignore") for i, t in enumerate(want)}
     assert out[0].n_chars == len(out[0].text) == len(texts[0]) - len(" ".join(texts[1].split()[5:]))
+
+
+def test_passages_beside_strings(spark):
+    rng = np.random.default_rng(8)
+    short = " ".join(f"w{x}" for x in rng.integers(0, 99, 55))  # fewer than 400 bytes
+    texts = [f"{k} " + " ".join(f"x{x}" for x in rng.integers(0, 10**6, 80)) + (" " + short if k % 2 else "") + f" end{k}" for k in range(8)]
+    own = numbered(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1))
+    assert len(short) < 400
+    rows = repeats.without_repeats(own, words=51, apart=True).orderBy("rid").collect()
+    assert [bytes(r.kept).decode() for r in rows] == texts and all(r.spans == [] for r in rows)
+    assert [r.passage_bytes for r in rows] == [len(short) if k % 2 else 0 for k in range(8)]
+
+
+def test_rows_of_a_heavy_key_are_not_dealt_by_it_alone(spark):
+    rows = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(3000)], "g long, c long").coalesce(2)
+    keys = rows.groupBy("g").count().withColumnRenamed("count", "n").where("n > 1")
+    found = repeats._matching(rows, keys, ["g"], 100)
+    assert {(r.g, r.c) for r in found.collect()} == {(1, i) for i in range(3000) if i % 3}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\((.*?), \d+\)", plan)
+    assert any("salt" in d for d in dealt) and not re.search(r"SortMergeJoin \[g#\d+L?\], \[g#", plan)
