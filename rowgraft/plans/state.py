@@ -36,6 +36,11 @@ def seen_rows(changes: DataFrame, run_id: str, at: datetime | str) -> DataFrame:
     )
 
 
+def changed_rows(changes: DataFrame, run_id: str, at: datetime | str) -> DataFrame:
+    """The rows a change set enters into the state: those it inserts or updates."""
+    return seen_rows(changes.where(F.col("op") != UNCHANGED), run_id, at)
+
+
 def upsert_hashes(state: DataFrame, seen: DataFrame, run_id: str, at: datetime | str) -> DataFrame:
     """State with the seen rows (keys and row_hash) entered; a known row keeps the run that
     saw it first."""
