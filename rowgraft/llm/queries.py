@@ -70,12 +70,13 @@ def op4_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated 400-byte strings; beside that, how many of its
-    bytes lie in passages of 51 words that occur elsewhere too, which may have fewer bytes."""
+    words lie in passages it shares with another place, which may have fewer bytes."""
     docs = numbered(documents(spark, sf_dir).select("doc_id", "text"))
-    cut = repeats.without_repeats(docs, words=repeats.PASSAGE, apart=True).select(
-        "rid", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "passage_bytes"
+    cut = repeats.without_repeats(docs).select(
+        "rid", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
-    return docs.select("rid", "doc_id").join(cut, "rid").drop("rid")
+    told = docs.select("rid", "doc_id").join(cut, "rid").join(repeats.shared_words(docs), "rid", "left")
+    return told.withColumn("n_shared_words", F.coalesce("shared_words", F.lit(0).cast("long"))).drop("rid", "shared_words")
 
 
 @query

@@ -38,8 +38,9 @@ from rowgraft.llm.common import CHUNK, NOT_BLANK, pieces_of, slices, written
 LENGTH = 400
 GRAM = 64
 STEP = 32
-#: Words of a passage that is told where it occurs again.
+#: Words of a passage that is told where it occurs again, and of the grams that tell it.
 PASSAGE = 51
+WORD_GRAM = 16
 #: Bytes that stand for a word.
 TOKEN = 4
 #: A key is heavy when it has more than one in so many runs.
@@ -132,10 +133,10 @@ def _longs(hashes: list[int]) -> np.ndarray:
 UNIT = "rid long, first int, windows int, at int, alone boolean, tokens boolean, g long, c long"
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int, words: int | None, apart: bool) -> Iterator[pa.RecordBatch]:
+def _contexts(batches: Iterator[pa.RecordBatch], length: int, gram: int, words: int | None) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
         rids = batch["rid"].to_pylist()
-        yield from _contexts_of(rids, texts, length, gram, None if apart else words, False)
+        yield from _contexts_of(rids, texts, length, gram, words, False)
         if words is not None:
             yield from _contexts_of(rids, map(as_tokens, texts), words * TOKEN, gram, None, True)
 
@@ -242,44 +243,31 @@ def _word_span(run: dict, text: bytes, edges: list[np.ndarray], words: int) -> l
     return [[int(edges[0][a, 0]), int(edges[0][b + words - 1, 1])]] if a <= b else []
 
 
-def _covered(spans: list[list[int]]) -> list[list[int]]:
-    """The spans in order, those that touch as one."""
-    found: list[list[int]] = []
-    for a, b in sorted(spans):
-        if found and a <= found[-1][1]:
-            found[-1][1] = max(found[-1][1], b)
-        else:
-            found.append([a, b])
-    return found
-
-
-def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None, apart: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None) -> Iterator[pa.RecordBatch]:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch, texts in slices(batches):
-        size, spans, kept, told = [], [], [], []
+        size, spans, kept = [], [], []
         for text, runs in zip(texts, batch["runs"].to_pylist()):
-            strings: list[list[int]] = []
-            passages: list[list[int]] = []
+            found: list[list[int]] = []
+            own: list[list[int]] = []
             edges: list[np.ndarray] = []
             for r in runs or ():
-                if r["tokens"]:
-                    passages += _word_span(r, text, edges, words)
+                own += _word_span(r, text, edges, words) if r["tokens"] else [[r["first"], r["first"] + r["windows"] - 1 + length]]
+            for a, b in sorted(own):
+                if found and a <= found[-1][1]:
+                    found[-1][1] = max(found[-1][1], b)
                 else:
-                    strings.append([r["first"], r["first"] + r["windows"] - 1 + length])
-            found = _covered(strings if apart else strings + passages)
+                    found.append([a, b])
             cuts = [0, *[x for s in found for x in s], len(text)]
             size.append(len(text))
-            told.append(sum(b - a for a, b in _covered(passages)))
             spans.append([{"start": a, "end": b} for a, b in found])
             kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
-        columns = [batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary()), pa.array(told, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["rid", "n_bytes", "spans", "kept", "passage_bytes"])
+        yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["rid", "n_bytes", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None, apart: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None) -> DataFrame:
     """One row per row of ``docs`` (which has a column rid, see ``numbered``): rid, n_bytes,
-    ``spans`` (byte offsets removed, maximal and in order), ``kept`` (the other bytes) and
-    ``passage_bytes``, those that passages of ``words`` words cover (0 without ``words``).
+    ``spans`` (byte offsets removed, maximal and in order) and ``kept`` (the other bytes).
 
     A byte goes when some string of ``length`` bytes that covers it also starts at another
     place, in the same text or another; strings may overlap.  Null counts as the empty text;
@@ -289,11 +277,10 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
 
     With ``words``, every passage of so many words that occurs at another place goes instead,
     whatever its bytes and the blanks between, and of the strings of ``length`` bytes those
-    that hold fewer whole words (text without blanks has few).  With ``apart`` the strings of
-    ``length`` bytes alone decide what goes, as without ``words``; passages are only measured.
+    that hold fewer whole words (text without blanks has few).
     """
     texts = docs.select("rid", F.col(text_column).alias("text"))
-    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words, apart), UNIT))
+    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words), UNIT))
     heavy = every.count() // HEAVY + 1
     units = written(_matching(every, every.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
     done, left = _sorted_out(units, heavy)
@@ -303,4 +290,53 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
     done_3 = _repeated(windows, heavy)
     runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "tokens")).alias("runs"))
     met = texts.join(runs, "rid", "left")
-    return met.mapInArrow(lambda b: _cut(b, length, words, apart), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, passage_bytes long")
+    return met.mapInArrow(lambda b: _cut(b, length, words), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+
+
+def word_grams(text: bytes, passage: int = PASSAGE, gram: int = WORD_GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the sampled grams of a text: of the grams in each run of ``passage`` words
+    the one with the least hash, the rightmost of equals."""
+    words = np.array([xxhash.xxh3_64_intdigest(w) for w in text.split()], np.uint64)
+    none = np.zeros(0, np.int64)
+    if len(words) < passage:
+        return none, none
+    h, n = _spread(words), 1
+    while n < gram:
+        h = _spread(h[:-n] * np.uint64(0xBF58476D1CE4E5B9) + h[n:])
+        n *= 2
+    place = np.arange(len(h), dtype=np.uint64)
+    low = _least((h & ~_PLACES) | (_PLACES - place % _PLACES), passage - gram + 1)
+    # The low bits tell the place within a stretch; the stretch follows from the window.
+    at = np.arange(len(low)) + (((_PLACES - (low & _PLACES)).astype(np.int64) - np.arange(len(low))) % int(_PLACES))
+    at = np.unique(at)
+    return at, h[at].view(np.int64)
+
+
+def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, texts in slices(batches):
+        found = [word_grams(t) for t in texts]
+        rid = np.repeat(batch["rid"].to_numpy(), [len(a) for a, _ in found])
+        at, g = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(at.astype(np.int32)), pa.array(g)], ["rid", "at", "g"])
+
+
+def shared_words(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """(rid, shared_words) of the rows of ``docs`` that share a passage with another place.
+
+    Of every 51 words in a row one gram of 16 is sampled by its hash, so a passage of 51 words
+    that occurs again has such grams in common with the other place.  ``shared_words`` counts the
+    words from the first to the last of them, where neighbours are less than 51 words apart: all
+    of a long passage but its edges, at least 16 of a short one.
+    """
+    grams = written(docs.select("rid", F.col(text_column).alias("text")).mapInArrow(_word_grams, "rid long, at int, g long"))
+    heavy = grams.count() // HEAVY + 1
+    found = _matching(grams, grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy)
+    zero = F.lit(0).cast("long")
+    near = lambda s, x: (s["last"] >= 0) & (x - s["last"] < PASSAGE)
+    total = F.aggregate(
+        F.sort_array(F.collect_list("at")),
+        F.struct(F.lit(-1).alias("last"), zero.alias("words")),
+        lambda s, x: F.struct(x.alias("last"), (s["words"] + F.when(near(s, x), x - s["last"]).otherwise(F.lit(WORD_GRAM))).alias("words")),
+        lambda s: s["words"],
+    )
+    return found.groupBy("rid").agg(total.alias("shared_words"))

@@ -63,15 +63,23 @@ def test_the_stage_cuts_a_short_passage(spark, sf, texts):
     assert out[0].n_chars == len(out[0].text) == len(texts[0]) - len(" ".join(texts[1].split()[5:]))
 
 
-def test_passages_beside_strings(spark):
+def test_shared_words(spark):
     rng = np.random.default_rng(8)
-    short = " ".join(f"w{x}" for x in rng.integers(0, 99, 55))  # fewer than 400 bytes
-    texts = [f"{k} " + " ".join(f"x{x}" for x in rng.integers(0, 10**6, 80)) + (" " + short if k % 2 else "") + f" end{k}" for k in range(8)]
+    short, long = (" ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) for n in (51, 300))
+    fresh = lambda n: " ".join(f"x{x}" for x in rng.integers(0, 10**9, n))
+    texts = [fresh(90), f"{fresh(30)} {short} {fresh(40)}", f"{fresh(7)}\n{short}", f"{long} {fresh(80)}", f"{fresh(9)} {long}", short[:150], None, ""]
     own = numbered(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1))
-    assert len(short) < 400
-    rows = repeats.without_repeats(own, words=51, apart=True).orderBy("rid").collect()
-    assert [bytes(r.kept).decode() for r in rows] == texts and all(r.spans == [] for r in rows)
-    assert [r.passage_bytes for r in rows] == [len(short) if k % 2 else 0 for k in range(8)]
+    got = {r.rid: r.shared_words for r in repeats.shared_words(own).collect()}
+    order = [r.rid for r in own.select("rid").collect()]
+    assert set(got) == {order[k] for k in (1, 2, 3, 4)}
+    assert got[order[1]] == got[order[2]] and 16 <= got[order[1]] <= 51 and 210 <= got[order[3]] == got[order[4]] <= 300
+
+
+def test_word_grams_are_those_of_every_window():
+    rng = np.random.default_rng(9)
+    text = b" ".join(b"%d" % x for x in rng.integers(0, 40, 700))
+    at, g = repeats.word_grams(text, 20, 8)
+    assert all(any(p <= a <= p + 12 for a in at.tolist()) for p in range(700 - 20 + 1)) and len(set(g.tolist())) > 10
 
 
 def test_rows_of_a_heavy_key_are_not_dealt_by_it_alone(spark):
