@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from rowgraft.operators.skew import durable
+from rowgraft.session import small_frame
 from rowgraft.sinks import gml, graphml, rows
 from suite import models
 from suite.graphs import edge_frame, mapped, node_frame
-from suite.registry import instant, query, table
+from suite.registry import instant, query, table, workspace
 
 
 def quoted_customers(spark, sf):
@@ -76,14 +78,42 @@ def export_json_typed(spark, sf):
 
 
 
-@query("keyed_batches", f"""
-    select 'Part_' || p_partkey as id, 'Part_' || p_partkey as own_id, p_name as name,
-        cast(floor((row_number() over (order by substr(md5('Part_' || p_partkey), 1, 3), 'Part_' || p_partkey) - 1) / 500) as bigint) as batch
-    from part
+@query("export_typed_all_labels", f"""
+    select 'nodes' as kind, 'Customer' as label, 'Customer_' || c_custkey || ',Customer,' || c_custkey || ',' || c_acctbal || ',' || coalesce({SEGMENT}, '') || ','
+        || case when c_custkey % 5 = 0 then '"' || replace({NAME}, '"', '""') || '"' else {NAME} end as line
+    from customer
+    union all select 'nodes', 'Order', 'Order_' || o_orderkey || ',Order,' || o_orderkey || ',' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || ',,' || o_orderpriority || ',' || o_totalprice from orders
+    union all select 'edges', 'PLACED_BY', 'PLACED_BY_' || o_orderkey || ',Order_' || o_orderkey || ',Customer_' || o_custkey || ',PLACED_BY,' || {instant('o_orderdate')} || ',' || o_orderkey from orders
+    union all values ('nodes_header', 'Customer', '~id,~label,c_custkey:Long,c_acctbal:Double,c_mktsegment:String,c_name:String'),
+        ('nodes_header', 'Order', '~id,~label,o_orderkey:Long,o_orderdate:DateTime,o_orderstatus:Int,o_orderpriority:String,o_totalprice:String'),
+        ('edges_header', 'PLACED_BY', '~id,~from,~to,~label,o_orderdate:String,o_orderkey:String')
+    union all select 'unread', 'Order', cast(count(*) as varchar) from orders
+""")
+def export_typed_all_labels(spark, sf):
+    """Every label with its own columns in one pass, read back; no order status is a number."""
+    folder = workspace(spark, "typed")
+    nodes = quoted_customers(spark, sf).unionByName(node_frame(mapped(spark, sf, models.ORDER)))
+    types = {"Customer": {"c_custkey": "Long", "c_acctbal": "Double"}, "Order": {"o_orderkey": "Long", "o_orderdate": "DateTime", "o_orderstatus": "Int"}}
+    unread = rows.write_typed_csv(nodes, edge_frame(mapped(spark, sf, models.PLACED_BY)), folder, types)
+    told = [("unread", k.split("/")[1], str(n)) for k, n in unread.items() if n]
+    found = small_frame(spark, told, "kind string, label string, line string")
+    for kind in ("nodes", "nodes_header", "edges", "edges_header"):
+        lines = spark.read.schema("value string, label string").text(f"{folder}/{kind}")
+        found = found.unionByName(lines.select(F.lit(kind).alias("kind"), "label", F.col("value").alias("line")))
+    return found
+
+
+@query("keyed_batches", """
+    select 'Part_' || p_partkey as id, 'Part_' || p_partkey as own_id, p_name as name, true as fits, cast(ceil((select count(*) from part) / 500.0) as bigint) as batches from part
 """)
 def keyed_batches(spark, sf):
+    """Parts in batches of 500: whether the row's batch is no larger, and how many there are."""
     found = rows.keyed_batches(node_frame(mapped(spark, sf, models.PART)), 500, "own_id")
-    return found.select("id", F.col("props")["own_id"].alias("own_id"), F.col("props")["p_name"].alias("name"), "batch")
+    sizes = durable(found.groupBy("batch").agg(F.count(F.lit(1)).alias("n")))
+    all_ = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("last")).first()
+    batches = F.lit(all_.n if all_.last + 1 == all_.n else -1).cast("long").alias("batches")
+    shown = found.join(sizes, "batch")
+    return shown.select("id", F.col("props")["own_id"].alias("own_id"), F.col("props")["p_name"].alias("name"), (F.col("n") <= 500).alias("fits"), batches)
 
 
 def gml_escaped(sql: str) -> str:
@@ -134,7 +164,7 @@ def xml(sql: str) -> str:
 def export_graphml(spark, sf):
     nodes, edges = quoted_customers(spark, sf), edge_frame(mapped(spark, sf, models.PLACED_BY))
     keys = graphml.property_keys(nodes, edges)
-    shown = graphml.node_records(nodes, keys["node"]).select(F.lit("node").alias("kind"), "id", "text")
-    return shown.unionByName(graphml.edge_records(edges, keys["edge"]).select(F.lit("edge").alias("kind"), "id", "text"))
+    shown = graphml.node_records(nodes, keys).select(F.lit("node").alias("kind"), "id", "text")
+    return shown.unionByName(graphml.edge_records(edges, keys).select(F.lit("edge").alias("kind"), "id", "text"))
 
 

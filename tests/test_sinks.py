@@ -98,15 +98,23 @@ def test_json_rows(spark, graph, tmp_path):
 
 def test_typed_csv(spark, graph, tmp_path):
     export_graph("typed_csv", *graph, str(tmp_path / "g"), types={"Order": {"amount": "Int", "a-b": "Double"}})
-    lines = [x for f in glob.glob(f"{tmp_path}/g/nodes/Order/part-*") for x in open(f).read().splitlines()]  # every file has the header
-    assert set(lines) == {"~id,~label,amount:Int,a-b:Double,a_b:String,none:String", "Link_1,Order,100,,second,"}
+    assert joined(tmp_path / "g" / "nodes_header").splitlines() == ["~id,~label,email__privacy_class:String,name:String", "~id,~label,amount:Int,a-b:Double,a_b:String,none:String"]
+    assert joined(tmp_path / "g" / "nodes").splitlines() == ["Customer_42,Customer,PII,Jane Doe", "Link_1,Order,100,,second,"]
 
 
-def test_typed_csv_writes_every_label(spark, graph, tmp_path):
-    unread = rows.write_typed_csv(*graph, str(tmp_path / "g"), {"Order": {"amount": "Int", "a-b": "Double"}})
+def test_typed_csv_writes_every_label_in_one_pass(spark, graph, tmp_path):
+    unread = rows.write_typed_csv(*graph, str(tmp_path / "g"), {"Order": {"amount": "Int", "a-b": "Double"}, "Nobody": {"x": "Int"}})
     assert unread == {"nodes/Customer": 0, "nodes/Order": 1, "edges/REFERENCES": 0}
-    lines = joined(tmp_path / "g" / "edges").splitlines()
-    assert set(lines) == {"~id,~from,~to,~label,since:String", "edge1,Link_1,Customer_42,REFERENCES,2024"}
+    assert joined(tmp_path / "g" / "edges_header").splitlines() == ["~id,~from,~to,~label,since:String"]
+    assert joined(tmp_path / "g" / "edges").splitlines() == ["edge1,Link_1,Customer_42,REFERENCES,2024"]
+
+
+def test_batches_move_no_property_maps(spark):
+    nodes = spark.range(25).selectExpr("concat('n', id) as id", "'N' as label", "map('v', cast(id as string)) as props").repartition(4)
+    found = rows.keyed_batches(nodes, 10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert sorted(r.batch for r in found.collect()) == [0] * 10 + [1] * 10 + [2] * 5
 
 
 def test_batches(spark, tmp_path):
