@@ -2,8 +2,8 @@
 
 Every language has a probability per piece of a fixed public vocabulary.  A text's probability
 in a language is the sum over all its segmentations, by the forward algorithm.  The piece
-probabilities are learned from a bounded sample of labelled texts (``per_language`` of each
-language, those with the least hash) by one step of expectation maximisation:
+probabilities are learned from a bounded sample of labelled texts (about ``per_language`` of each
+language, those with the least hash in each of ``SALTS`` shares) by one step of expectation maximisation:
 the expected number of times each piece is used, over all segmentations weighted by a common
 prior, summed per language.  Only (language, piece) sums travel.
 """
@@ -24,8 +24,10 @@ from rowgraft.llm.lattice import CHUNK, LEAST, MODEL, Lattice, Segments, Vocabul
 UNKNOWN = "und"
 #: Added to every expected count.
 SMOOTHING = 0.1
-#: Texts of each language to learn from.
-PER_LANGUAGE = 1000
+#: Texts of each language to learn from: so many at most, and a SALTS-th of them, rounded up, from
+#: each share of its rows.
+PER_LANGUAGE = 1024
+SALTS = 64
 
 
 def _expected(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
@@ -49,7 +51,8 @@ def _expected(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iter
 def learn(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text", per_language: int = PER_LANGUAGE, model: str = MODEL) -> tuple[list[str], np.ndarray]:
     """(languages in order, log probability by language and piece).
 
-    The rows with a language and a text are sampled down to ``per_language`` of each language.
+    The rows with a language and a text are sampled down to ``per_language`` of each language
+    (rounded up to a multiple of ``SALTS``).
     An empty table, or one without languages, teaches nothing.
 
     The sums per language and piece reach the driver: at most the vocabulary's size for each language.
@@ -57,9 +60,11 @@ def learn(labelled: DataFrame, lang_column: str = "lang", text_column: str = "te
     vocabulary = load_vocabulary(model)
     own = labelled.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).where("lang is not null and text is not null")
     own = numbered(own)
-    hashed = own.select("rid", "lang", F.xxhash64("text").alias("h")).withColumn("nth", F.expr("row_number() over (partition by lang order by h, rid)"))
+    # Copies of a text differ in their row number, so they do not enter together, and a language
+    # that most rows have is ranked in shares.
+    hashed = own.select("rid", "lang", F.xxhash64("text", "rid").alias("h")).withColumn("nth", F.expr(f"row_number() over (partition by lang, pmod(h, {SALTS}) order by h, rid)"))
     # A bounded number of row numbers, whatever the size of the table.
-    sample = F.broadcast(hashed.where(F.col("nth") <= per_language).select("rid"))
+    sample = F.broadcast(hashed.where(F.col("nth") <= -(-per_language // SALTS)).select("rid"))
     rows = own.join(sample, "rid", "left_semi").select("lang", "text").mapInArrow(lambda b: _expected(b, vocabulary), "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).toPandas()
     langs = sorted(rows["lang"].unique())
     counts = np.full((len(langs), vocabulary.size), SMOOTHING)

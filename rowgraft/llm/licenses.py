@@ -3,11 +3,16 @@
 A text is put in canonical form (lower case, copyright lines gone, runs of anything but
 letters and digits one blank, equivalent spellings one spelling) and digested; digests are
 hash-joined to those of known licences.  Nothing but the digest is exchanged.
+
+Known licences are a table (license_id, text): the short ones listed here, each with and without
+its usual titles and the numbers of its paragraphs, and whole texts read from a folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgraft.llm.common import free_name
@@ -65,8 +70,16 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
-#: A line that starts with a copyright mark, or is the usual line after it.
-COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved).*$"
+# Headings that stand above these licences.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"], "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License"], "ISC": ["ISC License", "The ISC License"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "Zlib": ["zlib License", "The zlib License"],
+}
+
+#: A line that states a copyright (a mark, a year or a place for one follows), or only the usual
+#: sentence after it.  Lines of a licence's body that happen to begin with the word stay.
+COPYRIGHT = r"(?m)^[ \t]*(copyright[ \t:]*(\(c\)|©|[0-9]{4}|<|\[|\{)|(\(c\)|©)[ \t]*(copyright|[0-9]{4}|<|\[)|all rights reserved[. \t]*$).*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
@@ -82,9 +95,25 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_licenses(spark) -> DataFrame:
-    """license_id, text of the licences listed here."""
-    return spark.createDataFrame(sorted(KNOWN.items()), "license_id string, text string")
+def variants(known: dict[str, str] = KNOWN) -> list[tuple[str, str]]:
+    """(license_id, text) of each text as listed, with each of its titles, and all of these with
+    paragraphs that begin with marks instead of numbers."""
+    found = []
+    for license_id, text in sorted(known.items()):
+        plain = re.sub(r"(?m)^[0-9]+\. ", "* ", text)
+        for body in dict.fromkeys((text, plain)):
+            found += [(license_id, body), *[(license_id, f"{title}\n\n{body}") for title in TITLES.get(license_id, [])]]
+    return found
+
+
+def known_licenses(spark: SparkSession, folder: str | None = None) -> DataFrame:
+    """license_id, text of the licences listed here and, as whole texts, of the files in a folder
+    that Spark can read, named by their licences (Apache-2.0.txt)."""
+    listed = spark.createDataFrame(variants(), "license_id string, text string")
+    if folder is None:
+        return listed
+    files = spark.read.text(folder, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.txt)?$", 1).alias("license_id"), F.col("value").alias("text"))
+    return listed.unionByName(files)
 
 
 def license_matches(docs: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:

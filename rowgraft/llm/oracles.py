@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowgraft.llm.licenses import KNOWN, SPELLINGS
+from rowgraft.llm.licenses import COPYRIGHT, SPELLINGS, variants
 from rowgraft.llm.line_dedup import PASSAGE
 
 
@@ -12,7 +12,7 @@ def _text(value: str) -> str:
 
 def _canonical(text: str) -> str:
     spellings = "map {" + ", ".join(f"{_text(a)}: {_text(b)}" for a, b in SPELLINGS.items()) + "}"
-    plain = f"regexp_replace(lower(coalesce({text}, '')), '(?m)^[ \\t]*(copyright|\\(c\\)|©|all rights reserved).*$', ' ', 'g')"
+    plain = f"regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT}', ' ', 'g')"
     words = f"string_split(trim(regexp_replace({plain}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
     return f"array_to_string(list_transform({words}, lambda w: coalesce({spellings}[w], w)), ' ')"
 
@@ -24,7 +24,7 @@ def _crc32(text: str) -> str:
     return f"xor({state}, 4294967295)"
 
 
-_KNOWN = ", ".join(f"({_text(a)}, {_text(b)})" for a, b in KNOWN.items())
+_KNOWN = ", ".join(f"({_text(a)}, {_text(b)})" for a, b in variants())
 
 ORACLES = {
     "op1_line_dedup": rf"""

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import textwrap
 import zlib
 
 import numpy as np
@@ -55,6 +56,28 @@ def test_licenses(spark, docs, none):
     assert licenses.license_matches(none, licenses.known_licenses(spark)).count() == 0
 
 
+def test_licenses_however_wrapped(spark):
+    """Every width, title and list mark; a copyright line of any usual form above."""
+    heads = ["Copyright (c) 2020 Someone", "Copyright 2019-2021, Some One <a@b.c>\nAll rights reserved.", "(c) 2001 X", "© 2020 Y", "Copyright [yyyy] [name]"]
+    rows = []
+    for license_id, text in licenses.variants():
+        if "line" in license_id or "notice" in license_id:
+            continue
+        for width in range(50, 101):
+            body = "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+            rows.append((license_id, f"{heads[width % len(heads)]}\n\n{body}"))
+    frame = spark.createDataFrame(rows, "want string, text string")
+    found = licenses.license_matches(frame, licenses.known_licenses(spark)).where("not license_id <=> want")
+    assert found.count() == 0 and len(rows) > 1500
+    assert licenses.license_matches(spark.createDataFrame([("Copyright notice kept.",)], "text string"), licenses.known_licenses(spark)).first().license_id is None
+
+
+def test_licenses_of_a_folder(spark, tmp_path):
+    (tmp_path / "Own-1.0.txt").write_text("Own Licence\n\nCopyright 2020 Me\n\nYou may.\n(c) You must not.\n")
+    found = licenses.license_matches(spark.createDataFrame([("own LICENSE\ncopyright (c) 1999 You\nyou may. (C) you must\nnot",)], "text string"), licenses.known_licenses(spark, str(tmp_path)))
+    assert found.first().license_id == "Own-1.0"
+
+
 def test_shards(spark, docs, none):
     rows = [(i % 50 if i % 3 else 7, 100 + i % 7) for i in range(3000)]  # a third of the rows are equal in key
     df = spark.createDataFrame(rows, "k long, size long")
