@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowgraft.operators.elements import element_keys
+from rowgraft.operators.skew import durable, is_small, sized_join
 from rowgraft.specs import FULL, MappingSpec
 
 INSERT, UPDATE, UNCHANGED, DELETE, SKIP = "insert", "update", "unchanged", "delete", "skip"
@@ -24,9 +25,8 @@ def changes_by_fingerprint(extract: DataFrame, state: DataFrame, spec: MappingSp
     is already partitioned for it.  Only changed rows keep their properties.
     """
     keys = element_keys(spec)
-    stored = state.where(F.col("mapping_id") == spec.mapping_id).select(
-        *keys, F.col("row_hash").alias("__old"), "first_seen_run_id"
-    )
+    # Columns of the state keep their names below the join: a renaming would hide how it is dealt.
+    stored = state.where(F.col("mapping_id") == spec.mapping_id).select(*keys, "row_hash", "first_seen_run_id")
     differs = F.lit(True) if spec.change_mode == FULL else F.col("__old") != F.col("row_hash")
     op = (
         F.when(F.col("reason").isNotNull(), F.lit(SKIP))
@@ -35,10 +35,26 @@ def changes_by_fingerprint(extract: DataFrame, state: DataFrame, spec: MappingSp
         .when(differs, F.lit(UPDATE))
         .otherwise(F.lit(UNCHANGED))
     )
-    joined = extract.drop("mapping_id", "entity_type", "label").join(stored, keys, "full_outer")
+    fresh = extract.drop("mapping_id", "entity_type", "label").withColumnRenamed("row_hash", "__new")
+    joined = fresh.join(stored, keys, "full_outer").withColumnsRenamed({"row_hash": "__old", "__new": "row_hash"})
     return _change_set(joined, spec, op)
 
 
+def changes_with_late_props(extract: DataFrame, state: DataFrame, spec: MappingSpec) -> DataFrame:
+    """The same without unchanged rows, for an extract that was not folded: only keys and
+    fingerprints are compared; properties are fetched by a second read, of changed rows alone.
+
+    A row that changes between the two reads is left for the next run, which sees it as changed.
+    """
+    keys = element_keys(spec)
+    bare = extract.withColumn("props", F.lit(None).cast(extract.schema["props"].dataType))
+    found = durable(changes_by_fingerprint(bare, state, spec).where(F.col("op") != UNCHANGED))
+    wanted = upserts(found).select(*keys, "row_hash")
+    props = sized_join(extract.select(*keys, "row_hash", "props"), wanted, [*keys, "row_hash"], "left_semi", keys, is_small(wanted))
+    changed = upserts(found).drop("props").join(props, [*keys, "row_hash"]).select(*found.columns)
+    return changed.unionByName(found.where(~F.col("op").isin(INSERT, UPDATE)))
+
+
 def changes_by_watermark(extract: DataFrame, spec: MappingSpec) -> DataFrame:
     """Every extracted row is an update, or a delete where the flag is set.
 

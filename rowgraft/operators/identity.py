@@ -45,7 +45,11 @@ def content_id(df: DataFrame, entity_name: str, columns: list[str]) -> Column:
 def element_id(df: DataFrame, spec: MappingSpec) -> Column:
     """Expression first, then the id attributes, then the whole content."""
     if spec.id_expr:
-        return expression_id(df, spec.id_expr)
+        own = expression_id(df, spec.id_expr)
+        if spec.id_starts is None:
+            return own
+        broken = F.raise_error(F.concat(F.lit(f"{spec.mapping_id}: an id does not begin with {spec.id_starts}: "), own))
+        return F.when(own.isNull() | F.startswith(own, F.lit(spec.id_starts)), own).otherwise(broken)
     if spec.id_attributes:
         return composite_id(df, spec.entity_name, [a.source_column for a in spec.id_attributes])
     return content_id(df, spec.entity_name, [a.source_column for a in spec.attributes])

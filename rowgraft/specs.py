@@ -79,6 +79,9 @@ class MappingSpec:
     attributes: tuple[AttrSpec, ...] = ()
     source: SourceSpec = field(default_factory=SourceSpec)
     id_expr: str | None = None
+    # What every id of the expression begins with; an id that does not makes the mapping fail.
+    # It keeps the mapping apart from others whose ids begin otherwise.
+    id_starts: str | None = None
     from_mapping_id: str | None = None
     to_mapping_id: str | None = None
     row_filter: str | None = None
@@ -117,8 +120,9 @@ class MappingSpec:
 
     @property
     def id_prefix(self) -> str | None:
-        """Text every id of this mapping starts with, or None when an expression decides."""
-        return None if self.id_expr else f"{self.entity_name}_"
+        """Text every id of this mapping starts with, or None when an expression decides and
+        promises nothing."""
+        return self.id_starts if self.id_expr else f"{self.entity_name}_"
 
 
 def index_specs(specs: list[MappingSpec]) -> dict[str, MappingSpec]:
@@ -137,8 +141,8 @@ def id_families(specs: list[MappingSpec]) -> list[list[MappingSpec]]:
     """Groups of node mappings whose ids may coincide.
 
     Ids that begin with prefixes of which neither begins with the other can never be
-    equal, so such mappings need no common shuffle.  An id expression may produce
-    anything and so ties everything together.
+    equal, so such mappings need no common shuffle.  An id expression that promises no
+    beginning may produce anything and so ties everything together.
     """
     nodes = in_load_order([s for s in specs if s.entity_type == NODE])
     if any(s.id_prefix is None for s in nodes):
