@@ -44,6 +44,18 @@ def edge_endpoints(spark, sf):
     return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
 
 
+@query("edge_null_endpoint", """
+    select 'PLACED_BY_' || o_orderkey as id, 'Order_' || o_orderkey as from_id, 'Buyer-' || o_custkey as to_id, cast(null as varchar) as reason, cast(1 as bigint) as n_rows from orders where o_custkey % 10 <> 3
+    union all select null, null, null, 'no_endpoint', count(*) from orders where o_custkey % 10 = 3 having count(*) > 0
+""")
+def edge_null_endpoint(spark, sf):
+    """Order edges to buyers some of whom have no id: counted by reason, not made."""
+    buyer = replace(models.CUSTOMER, id_expr="case when c_custkey % 10 <> 3 then concat('Buyer-', c_custkey) end", id_starts="Buyer-")
+    specs = models.BY_ID | {buyer.mapping_id: buyer}
+    rows = read_relation(spark, models.PLACED_BY.source, {"orders": table(spark, sf, "orders")})
+    return elements(rows, models.PLACED_BY, specs).select("id", "from_id", "to_id", "reason", "n_rows")
+
+
 def gapped(spark, sf):
     """Order edges and a node set that lacks some orders and some customers."""
     orders = node_frame(mapped(spark, sf, models.ORDER, table(spark, sf, "orders").where("o_orderkey % 11 <> 5")))
