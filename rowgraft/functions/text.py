@@ -132,3 +132,15 @@ def endpoint_database(endpoint: Column) -> Column:
 
 def is_uuid(text: Column) -> Column:
     return text.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+
+
+def sortable(value: Column, data_type: T.DataType) -> Column:
+    """Sixteen hexadecimal digits that sort as the whole number, date or instant does."""
+    if isinstance(data_type, T.DateType):
+        value = F.unix_date(value)
+    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        value = F.unix_micros(value.cast("timestamp"))
+    elif not isinstance(data_type, T.IntegralType):
+        raise TypeError(f"{data_type.simpleString()} values give no order that can be kept")
+    # The sign bit turned, so that negative numbers come first.
+    return F.lpad(F.hex(value.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.operators.elements import element_keys
+from rowgraft.operators.elements import GONE, element_keys
 from rowgraft.operators.skew import durable, is_small, sized_join
 from rowgraft.specs import FULL, MappingSpec
 
@@ -68,6 +68,43 @@ def changes_by_watermark(extract: DataFrame, spec: MappingSpec) -> DataFrame:
     return _change_set(extract.withColumn("first_seen_run_id", F.lit(None).cast("string")), spec, op)
 
 
+def changes_by_version(extract: DataFrame, stored: DataFrame, spec: MappingSpec) -> DataFrame:
+    """What a batch adds to elements whose values carry the order of their rows, in ``row_hash`` as
+    JSON.  ``stored`` are the versions kept for the mapping.
+
+    A value is taken when its row comes after the one the kept value is from, and after the newest
+    deletion.  A deletion takes effect when no newer value is known.  So batches may come in any
+    order, and again.  What changes nothing is ``unchanged``.
+    """
+    keys = element_keys(spec)
+    batch = durable(extract)
+    asked = batch.where(F.col("id").isNotNull()).select(*keys)
+    held = stored.where(F.col("mapping_id") == spec.mapping_id).select(*keys, F.col("row_hash").alias("__held"), "first_seen_run_id")
+    known = sized_join(held, asked, keys, "left_semi", keys, is_small(asked))
+    joined = batch.join(known, keys, "left")
+    none = F.create_map().cast("map<string,string>")
+    old = F.coalesce(F.from_json("__held", "map<string,string>"), none)
+    joined = joined.withColumns({"__old": old, "__new": F.coalesce("versions", none)})
+    merged = F.map_zip_with("__old", "__new", lambda k, a, b: F.greatest(a, b))
+    joined = joined.withColumn("__all", merged)
+    gone = F.coalesce(F.col("__all")[GONE], F.lit(""))
+    alive = F.map_filter("__all", lambda k, v: (k == GONE) | (v > gone))
+    newer = lambda k: F.col("__new")[k].isNull() | ((F.col("__new")[k] > F.coalesce(F.col("__old")[k], F.lit(""))) & (F.col("__new")[k] > gone))
+    fresh = F.map_filter("props", lambda k, v: newer(k))
+    taken = F.exists(F.map_keys("__new"), lambda k: (k != GONE) & newer(k))
+    left = F.size(F.map_filter(alive, lambda k, v: k != GONE)) > 0
+    later_gone = F.coalesce(F.col("__new")[GONE] > F.coalesce(F.col("__old")[GONE], F.lit("")), F.lit(False))
+    op = (
+        F.when(F.col("reason").isNotNull(), F.lit(SKIP))
+        .when(~left & later_gone, F.lit(DELETE))
+        .when(left & (taken | later_gone), F.lit(UPDATE))
+        .otherwise(F.lit(UNCHANGED))
+    )
+    # Values that gave way keep their place with NULL, which replaces nothing.
+    kept = F.map_zip_with("props", fresh, lambda k, a, b: b)
+    return _change_set(joined.withColumns({"props": kept, "row_hash": F.to_json(alive), "__taken": op}), spec, F.col("__taken"))
+
+
 def _change_set(df: DataFrame, spec: MappingSpec, op) -> DataFrame:
     marked = df.withColumns({"__op": op})
     return marked.select(

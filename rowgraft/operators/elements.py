@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.functions.text import truthy
+from rowgraft.functions.text import sortable, truthy
 from rowgraft.operators.collapse import collapse_rows
 from rowgraft.operators.identity import element_id, endpoint_id, row_fingerprint
 from rowgraft.operators.properties import final_attributes, property_map, with_values
@@ -52,6 +52,37 @@ def elements(
     """Elements of a mapping.  Rows without an id or endpoint come out with ``id`` NULL and
     a reason, folded to one row per reason that still counts them in ``n_rows``."""
     spec.check()
+    if spec.versioned:
+        return _versioned(df, spec, specs, separated)
+    return _elements(df, spec, specs, separated)
+
+
+#: Name of the version of a deletion among those of properties.
+GONE = ""
+
+
+def _versioned(df: DataFrame, spec: MappingSpec, specs: Mapping[str, MappingSpec], separated: bool) -> DataFrame:
+    """Elements with ``versions``: of each property, and of the deletion, the order of its row."""
+    attributes = final_attributes(spec.attributes)
+    parts = [sortable(df[f"`{c.lower()}`"], df.schema[c.lower()].dataType) for c in spec.order_columns]
+    order = F.concat(*[F.coalesce(p, F.lit("0" * 16)) for p in parts])
+    versions = {f"__t{i}": F.when(F.col(f"__v{i}").isNotNull(), F.col("__version")) for i in range(len(attributes))}
+    versions["__gone"] = F.when(F.col("flagged"), F.col("__version"))
+    found = _elements(df, spec, specs, separated, order, versions)
+    names = [*[a.target_property for a in attributes], GONE]
+    given = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(c) for c in versions]))
+    return found.withColumn("versions", F.map_filter(given, lambda k, v: v.isNotNull())).drop(*versions)
+
+
+def _elements(
+    df: DataFrame,
+    spec: MappingSpec,
+    specs: Mapping[str, MappingSpec],
+    separated: bool,
+    version: Column | None = None,
+    versions: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    versions = versions or {}
     edge = spec.entity_type == EDGE
     attributes = final_attributes(spec.attributes)
     values = [f"__v{i}" for i in range(len(attributes))]
@@ -71,8 +102,9 @@ def elements(
         F.substring(F.unhex(row_fingerprint(rows, mapped or spec.fingerprint_columns)), 1, 16).alias("__tie"),
         delete_flag(rows, spec).alias("flagged"),
         F.struct(*order, F.lit(0)).alias("__order"),
+        *([version.alias("__version")] if version is not None else []),
         *values,
-    )
+    ).withColumns(dict(versions))
 
     # A skipped row keeps no key: its reason travels in from_id.
     may_skip = spec.id_expr is not None or (
@@ -94,7 +126,8 @@ def elements(
         found = rows.withColumn("n_rows", F.lit(1).cast("long"))
         if may_skip:
             skipped = found.where(F.col("id").isNull())
-            empty = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ["__tie", "__order", *values]]
+            more = ["__version", *versions] if versions else []
+            empty = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ["__tie", "__order", *more, *values]]
             folded = skipped.groupBy("from_id").agg(F.count(F.lit(1)).alias("n_rows")).select(
                 F.lit(None).cast("string").alias("id"), "from_id", F.lit(None).cast("string").alias("to_id"),
                 F.lit(None).cast("binary").alias("row_hash"), F.lit(False).alias("flagged"), "n_rows", *empty,
@@ -107,7 +140,7 @@ def elements(
         order = F.struct("__order", "__tie")
         newest = [F.max_by("row_hash", order).alias("row_hash"), F.max("flagged").alias("flagged")]
         fixed = _fixed_values(spec, attributes)
-        newest += [F.max(v).alias(v) for v in values if v in fixed]
+        newest += [F.max(v).alias(v) for v in [*[v for v in values if v in fixed], *versions]]
         found = collapse_rows(rows, keys, [v for v in values if v not in fixed], order, newest)
         if "from_id" not in keys:
             found = found.withColumns({"from_id": F.lit(""), "to_id": F.lit("")})
@@ -125,4 +158,5 @@ def elements(
         "flagged",
         F.when(skipped, F.col("from_id")).alias("reason"),
         "n_rows",
+        *versions,
     )

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.operators.changes import INSERT, UNCHANGED, UPDATE
+from rowgraft.operators.changes import DELETE, INSERT, UNCHANGED, UPDATE
 from rowgraft.operators.skew import lookup_join
 
 STATE_SCHEMA = (
@@ -36,6 +36,17 @@ def seen_rows(changes: DataFrame, run_id: str, at: datetime | str) -> DataFrame:
     )
 
 
+def version_part(mapping_id: str) -> str:
+    """The part of the state that holds the versions of a mapping's values."""
+    return f"{mapping_id}#versions"
+
+
+def version_rows(changes: DataFrame, run_id: str, at: datetime | str) -> DataFrame:
+    """The versions a change set enters: deleted elements keep theirs, so that older values stay out."""
+    kept = changes.where(F.col("op").isin(INSERT, UPDATE, DELETE)).withColumn("op", F.lit(UPDATE))
+    return seen_rows(kept, run_id, at)
+
+
 def changed_rows(changes: DataFrame, run_id: str, at: datetime | str) -> DataFrame:
     """The rows a change set enters into the state: those it inserts or updates."""
     return seen_rows(changes.where(F.col("op") != UNCHANGED), run_id, at)

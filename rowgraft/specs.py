@@ -92,6 +92,9 @@ class MappingSpec:
     concept_tags: tuple[TagSpec, ...] = ()
     # Columns that say which of several rows with one id is the last one.
     order_columns: tuple[str, ...] = ()
+    # Values carry the order of their rows (numbers, dates or instants), so that a late or repeated
+    # batch does not replace newer ones.  For timestamp mappings.
+    versioned: bool = False
     # The source guarantees one row per id, so no collapse (and no shuffle) is needed.
     unique_ids: bool = False
     load_order: int = 100
@@ -108,6 +111,8 @@ class MappingSpec:
             raise SpecError(f"{self.mapping_id}: no id expression and no attributes, rows cannot be identified")
         if self.change_mode == TIMESTAMP and not self.watermark_column:
             raise SpecError(f"{self.mapping_id}: timestamp mode needs a watermark column")
+        if self.versioned and (self.change_mode != TIMESTAMP or not self.order_columns):
+            raise SpecError(f"{self.mapping_id}: versions need timestamp mode and order columns")
 
     @property
     def id_attributes(self) -> tuple[AttrSpec, ...]:
