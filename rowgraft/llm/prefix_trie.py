@@ -35,7 +35,8 @@ KEY = ["depth", "k1", "k2"]
 
 
 def turn_hashes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv, turn, h1, h2, words) of each turn of a conversation; null role and text are empty."""
+    """(conv, turn, h1, h2, words) of each turn; null role and text are empty, and a turn without a
+    conversation belongs to none.  Other columns are not read."""
     r, t = (F.coalesce(F.col(c), F.lit("")) for c in (role, text))
     return turns.where(F.col(conv).isNotNull()).select(
         F.col(conv).cast("long").alias("conv"),
