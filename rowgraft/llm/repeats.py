@@ -45,6 +45,8 @@ WORD_GRAM = 16
 TOKEN = 4
 #: A key is heavy when it has more than one in so many runs.
 HEAVY = 1000
+#: Shares that the rows of a heavy key are dealt into.
+SALTS = 1024
 _PLACES = np.uint64((1 << 24) - 1)
 
 
@@ -208,11 +210,13 @@ def _matching(rows: DataFrame, keys: DataFrame, on: list[str], heavy: int) -> Da
     broadcast, and their rows are dealt by a salt of their own beside the key.
     """
     often = F.broadcast(keys.where(F.col("n") > heavy).select(*on, F.lit(True).alias("often")))
-    salt = F.when(F.col("often"), F.xxhash64(*rows.columns)).otherwise(F.lit(0).cast("long"))
+    # Salts of heavy rows begin with 1, and tell them apart from others after the join.
+    own = F.when(F.col("often"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)) + 1).otherwise(F.lit(0)).cast("int")
     # Zero, told by the data: a literal would be folded out of the join, and the salt with it.
-    zero = F.least(F.col("n"), F.lit(0).cast("long"))
+    zero = F.least(F.col("n"), F.lit(0)).cast("int")
     rare = keys.where(F.col("n") <= heavy).select(*on, zero.alias("salt"), F.lit(True).alias("rare"))
-    return rows.join(often, on, "left").withColumn("salt", salt).join(rare, [*on, "salt"], "left").where("often or rare").select(*rows.columns)
+    dealt = rows.join(often, on, "left").withColumn("salt", own).drop("often")
+    return dealt.join(rare, [*on, "salt"], "left").where("salt > 0 or rare").select(*rows.columns)
 
 
 def _sorted_out(units: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
