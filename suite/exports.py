@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from rowgraft.operators.skew import durable
 from rowgraft.session import small_frame
 from rowgraft.sinks import gml, graphml, rows
 from suite import models
@@ -103,17 +102,14 @@ def export_typed_all_labels(spark, sf):
     return found
 
 
-@query("keyed_batches", """
-    select 'Part_' || p_partkey as id, 'Part_' || p_partkey as own_id, p_name as name, true as fits, cast(ceil((select count(*) from part) / 500.0) as bigint) as batches from part
+@query("keyed_batches", f"""
+    select 'Part_' || p_partkey as id, 'Part_' || p_partkey as own_id, p_name as name,
+        cast(floor((row_number() over (order by substr(md5('Part_' || p_partkey), 1, 3), 'Part_' || p_partkey) - 1) / 500) as bigint) as batch
+    from part
 """)
 def keyed_batches(spark, sf):
-    """Parts in batches of 500: whether the row's batch is no larger, and how many there are."""
-    found = rows.keyed_batches(node_frame(mapped(spark, sf, models.PART)), 500, "own_id")
-    sizes = durable(found.groupBy("batch").agg(F.count(F.lit(1)).alias("n")))
-    all_ = sizes.agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("last")).first()
-    batches = F.lit(all_.n if all_.last + 1 == all_.n else -1).cast("long").alias("batches")
-    shown = found.join(sizes, "batch")
-    return shown.select("id", F.col("props")["own_id"].alias("own_id"), F.col("props")["p_name"].alias("name"), (F.col("n") <= 500).alias("fits"), batches)
+    found = rows.keyed_batches(node_frame(mapped(spark, sf, models.PART)), 500, "own_id", "id")
+    return found.select("id", F.col("props")["own_id"].alias("own_id"), F.col("props")["p_name"].alias("name"), "batch")
 
 
 def gml_escaped(sql: str) -> str:

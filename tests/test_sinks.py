@@ -2,12 +2,14 @@
 
 import csv
 import glob
+import hashlib
 import io
 import json
 from xml.etree import ElementTree
 
 import pytest
 
+import __spark_entry__ as registered
 from rowgraft.operators import merge
 from rowgraft.session import small_frame
 from rowgraft.sinks import export_graph, register, rows
@@ -117,6 +119,20 @@ def test_batches_move_no_property_maps(spark):
     assert sorted(r.batch for r in found.collect()) == [0] * 10 + [1] * 10 + [2] * 5
 
 
+def test_batches_by_key_do_not_depend_on_the_files(spark):
+    nodes = spark.range(25).selectExpr("concat('n', id) as id", "'N' as label", "map('v', cast(id as string)) as props")
+    ids = sorted((f"n{i}" for i in range(25)), key=lambda i: (hashlib.md5(i.encode()).hexdigest()[:3], i))
+    want = {i: at // 10 for at, i in enumerate(ids)}
+    for dealt in (nodes.repartition(4), nodes.coalesce(1).orderBy("id")):
+        assert {r.id: r.batch for r in rows.keyed_batches(dealt, 10, key="id").collect()} == want
+
+
+def test_registered_batches_number_every_row(spark, sf):
+    found = registered.queries()["keyed_batches"](spark, sf).collect()
+    ids = sorted((r.id for r in found), key=lambda i: (hashlib.md5(i.encode()).hexdigest()[:3], i))
+    assert {r.id: r.batch for r in found} == {i: at // 500 for at, i in enumerate(ids)}
+
+
 def test_batches(spark, tmp_path):
     nodes = spark.range(25).selectExpr("concat('n', id) as id", "'N' as label", "map('v', cast(id as string)) as props")
     edges = nodes.selectExpr("'same' as id", "'E' as label", "id as from_id", "id as to_id", "props")
