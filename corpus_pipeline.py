@@ -33,8 +33,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by a Jaccard similarity of 0.8 or more of five-word
-    shingles: the smallest doc_id, of rows that share it the first.  Documents without words are
-    one group."""
+    shingles: the smallest doc_id, of rows that share it the first.  SimHash clusters, then MinHash
+    groups for what few bits cannot tell; every link is checked.  Documents without words are one group."""
     rid = free_name(docs, "rid")
     own = numbered(docs, rid)
     groups = near_copies.near_copies(own.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", rid).alias("key"), "text"), "key")
@@ -74,7 +74,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language ID", identify_language),
-    ("near-dedup by word shingles", drop_near_copies),
+    ("SimHash near-dedup by word shingles", drop_near_copies),
     ("suffix-array dedup", cut_repeats),
     ("benchmark decontamination", decontaminate),
     ("SentencePiece encoding and decoding", encode),

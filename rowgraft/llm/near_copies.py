@@ -1,14 +1,21 @@
 """Near copies by the Jaccard similarity of their word shingles, every link checked exactly.
 
-At a similarity of 0.8 about ten of 64 bits of SimHash are expected to differ, too many for
-bands to tell pairs apart, so candidates come from MinHash: a text's shingles are hashed where it lies, and the least of them under ``ROWS`` mixings is one
-of ``BANDS`` keys.  Texts with the same shingles are one node; nodes that share a key meet.
-A pair at 0.8 shares none of the keys once in 100,000 times, a nearer one less often.
-
-The texts that meet others are shingled again, and each group of a key compares its sets in
-full.  Pairs already in one component need no comparison, so a dense group costs about as many
-comparisons as it has members outside its largest component.  A group over ``BLOCK`` shingles
-is dealt out as pairs of blocks.  Only a spanning forest of the links is handed on.
+Texts with the same shingles are one node.  Links are found in two steps:
+
+1. SimHash.  A node's fingerprint is the majority of its shingles' hashes.  Bands, the bit-sliced
+   comparison and star components (see ``simhash``) gather nodes whose fingerprints differ in at
+   most ``RADIUS`` bits, and the members of each cluster are compared by their sets.
+2. The rest.  At a similarity of 0.8 about ten of 64 bits are expected to differ, too many for
+   bands.  The shingles are hashed where the text lies, and the least of them under ``ROWS``
+   mixings is one of ``BANDS`` keys (MinHash).  Nodes that share a key meet, but those that the
+   first step has put into one component need no comparison.  A pair at 0.8 shares none of the
+   keys once in 100,000 times, a nearer one less often.
+
+The texts that meet others are shingled again, once for both steps.  Groups with the same members
+are one group, which compares its sets in full.  Pairs already in one component need no comparison,
+so a dense group costs about as many comparisons as it has members outside its largest component.
+A group over ``BLOCK`` shingles is dealt out as pairs of blocks.  Only a spanning forest of the
+links is handed on.
 """
 
 from __future__ import annotations
@@ -22,10 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowgraft.llm.common import durable, slices
-from rowgraft.llm.simhash import SEED, grouped
+from rowgraft.llm.simhash import SEED, components, grouped, majority, near_links
 
 WORDS = 5
 LEAST = 0.8
+#: Bits in which fingerprints of one cluster's links may differ.
+RADIUS = 6
 BANDS = 16
 ROWS = 3
 #: Shingles of a group that one task compares with each other, or with as many others.
@@ -76,9 +85,10 @@ def _marks(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
             b["id"],
             pa.array([_node(s) for s in sets], pa.int64()),
             pa.array([len(s) for s in sets], pa.int64()),
+            pa.array([_signed(majority(s)) for s in sets], pa.int64()),
             pa.array([keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "fp", "size", "keys"])
+        yield pa.RecordBatch.from_arrays(columns, ["id", "fp", "size", "sim", "keys"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -86,12 +96,13 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([b["fp"], pa.array([shingles(t, words).tobytes() for t in texts], pa.binary())], ["fp", "own"])
 
 
-def alike(sets: list[np.ndarray], side: np.ndarray, least: float) -> list[tuple[int, int]]:
+def alike(sets: list[np.ndarray], side: np.ndarray, least: float, root: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the pairs with at least this similarity: side 0 against side 1, or
-    among side 2."""
+    among side 2.  Members with one root are known to be in one component."""
     m = len(sets)
     size = np.array([len(s) for s in sets])
-    if m < 2 or size.min() < 1:
+    part = np.unique(root, return_inverse=True)[1]
+    if m < 2 or size.min() < 1 or not part.any():
         return []
     if m == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
@@ -105,7 +116,7 @@ def alike(sets: list[np.ndarray], side: np.ndarray, least: float) -> list[tuple[
     np.cumsum(np.where(count > 1, count, 0), out=begin[1:])
     holder = member[np.argsort(run, kind="stable")]
     first = np.searchsorted(member, np.arange(m + 1))
-    part, done, links = np.arange(m), np.zeros(m, bool), []
+    done, links = np.zeros(m, bool), []
     while True:
         # Pairs inside the largest component need no comparison, all others have a member outside.
         left = np.flatnonzero(~done & (part != np.bincount(part).argmax()))
@@ -130,18 +141,18 @@ def _compare(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
     """Links of each run of rows with one group."""
 
     def links(rows):
-        fps, sides, sets = zip(*rows)
-        found = alike([np.frombuffer(s, np.uint64) for s in sets], np.array(sides), least)
+        fps, sides, roots, sets = zip(*rows)
+        found = alike([np.frombuffer(s, np.uint64) for s in sets], np.array(sides), least, np.array(roots))
         return [(fps[i], fps[j]) for i, j in found]
 
     group, rows = None, []
     for b in batches:
         found = []
-        for g, side, fp, own in zip(*[b[c].to_pylist() for c in ("grp", "side", "fp", "own")]):
+        for g, side, fp, root, own in zip(*[b[c].to_pylist() for c in ("grp", "side", "fp", "root", "own")]):
             if g != group:
                 found += links(rows) if len(rows) > 1 else []
                 group, rows = g, []
-            rows.append((fp, side, own))
+            rows.append((fp, side, root, own))
         yield _batch(found)
     yield _batch(links(rows) if len(rows) > 1 else [])
 
@@ -150,6 +161,42 @@ def _batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
+def _groups(members: DataFrame) -> DataFrame:
+    """(key, blocks) of the keys whose members (fp, size, root, key) have several roots; of keys
+    with the same members one."""
+    told = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"m{i}") for i in (1, 2)]
+    several = members.groupBy("key").agg(F.sum("size").alias("all"), F.min("root").alias("low"), F.max("root").alias("high"), *told).where("low < high")
+    return several.groupBy("all", "m1", "m2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
+
+
+def _meetings(members: DataFrame) -> DataFrame:
+    """(fp, root, grp, side) of the members that meet others."""
+    dealt = members.join(_groups(members), "key").withColumn("own", F.expr("cast(pmod(xxhash64(fp, key), blocks) as int)"))
+    # A block meets itself and every other block of its group once.
+    return dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "fp",
+        "root",
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
+        F.expr("case when own = other then 2 when own < other then 0 else 1 end").alias("side"),
+    )
+
+
+def _links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that connect all members of a key whose sets are alike."""
+    sorted_ = _meetings(members).join(sets, "fp").repartition("grp").sortWithinPartitions("grp")
+    return durable(sorted_.mapInArrow(lambda b: _compare(b, least), "a long, b long").distinct())
+
+
+def clusters(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, size, root, key) of the nodes whose fingerprint is linked with another node's over at
+    most ``radius`` differing bits: key is the cluster, root the node itself."""
+    own = distinct.where("size > 0").select("fp", "size", F.col("fp").alias("root"), "sim")
+    linked = components(near_links(own.select(F.col("sim").alias("fp")).distinct(), radius)).toDF("sim", "cluster")
+    keyed = own.join(linked, "sim", "left").select("fp", "size", "root", F.coalesce("cluster", "sim").alias("key"))
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return keyed.join(several, "key").select("fp", "size", "root", "key")
+
+
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, least: float = LEAST) -> DataFrame:
     """One row per row of ``docs``: its id, ``fp`` (equal for equal sets of shingles) and
     ``component_id``, the smallest id reachable over pairs of texts whose shingles have at
@@ -159,20 +206,17 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Other columns are not read.
     """
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    marked = durable(own.mapInArrow(lambda b: _marks(b, words), f"id {dict(own.dtypes)['id']}, fp long, size long, keys array<long>"))
-    distinct = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys")))
-    keyed = distinct.select("fp", "size", F.explode("keys").alias("key"))
-    bucket = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all")).where("n > 1")
-    bucket = bucket.select("key", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
-    dealt = durable(keyed.join(bucket, "key").withColumn("own", F.expr("cast(pmod(xxhash64(fp, key), blocks) as int)")).select("fp", "key", "own", "blocks"))
-    # A block meets itself and every other block of its bucket once.
-    rows = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "fp",
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
-        F.expr("case when own = other then 2 when own < other then 0 else 1 end").alias("side"),
-    )
-    meeting = distinct.select("fp", F.col("least").alias("id")).join(dealt.select("fp").distinct(), "fp")
-    sets = own.join(meeting, "id").select("fp", "text").mapInArrow(lambda b: _sets(b, words), "fp long, own binary")
-    sorted_ = rows.join(sets, "fp").repartition("grp").sortWithinPartitions("grp")
-    links = sorted_.mapInArrow(lambda b: _compare(b, least), "a long, b long").distinct()
+    marked = durable(own.mapInArrow(lambda b: _marks(b, words), f"id {dict(own.dtypes)['id']}, fp long, size long, sim long, keys array<long>"))
+    columns = [F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("size", "sim", "keys")]]
+    distinct = durable(marked.groupBy("fp").agg(*columns))
+    near = durable(clusters(distinct))
+    keyed = lambda nodes: nodes.select("fp", "size", "root", F.explode("keys").alias("key"))
+    alone = keyed(distinct.withColumn("root", F.col("fp")))
+    met = near.select("fp").unionAll(alone.join(_groups(alone), "key").select("fp")).distinct()
+    meeting = distinct.select("fp", F.col("least").alias("id")).join(met, "fp")
+    sets = durable(own.join(meeting, "id").select("fp", "text").mapInArrow(lambda b: _sets(b, words), "fp long, own binary"))
+    first = _links(near, sets, least)
+    known = components(first).select(F.col("node").alias("fp"), "root")
+    rest = keyed(distinct.join(known, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    links = first.unionAll(_links(rest, sets, least))
     return grouped(marked.select("id", "fp"), distinct.select("fp", "least"), links, id_column)

@@ -48,6 +48,11 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
             ends.append(at)
         starts = [0, *[e + 1 for e in ends]]
         hashes = [xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, ends[words - 1 :])]
+    return majority(hashes)
+
+
+def majority(hashes: list[int] | np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         block = np.array(hashes[i : i + (1 << 16)], np.uint64)

@@ -53,3 +53,24 @@ def test_the_stage_keeps_one_of_each(spark, sf, texts):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3, "doc_id").cache()
     kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()}
     assert kept == set(_components(texts).values())
+
+
+def test_the_stage_clusters_by_fingerprints(spark, sf, texts, monkeypatch):
+    """Every two texts whose fingerprints differ in few bits are in one cluster, and the stage asks for them."""
+    seen, told = [], near_copies.clusters
+    monkeypatch.setattr(near_copies, "clusters", lambda distinct: seen.append(told(distinct).collect()) or told(distinct))
+    near = {i: t for i, t in texts.items() if i % 10 < 3}
+    docs = spark.createDataFrame(list(near.items()), "doc_id long, text string").coalesce(1).cache()
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()}
+    assert kept == set(_components(near).values())
+    sets = {near_copies._node(s): near_copies.majority(s) for s in (near_copies.shingles((t or "").encode()) for t in near.values()) if len(s)}
+    root = {n: n for n in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if (sets[a] ^ sets[b]).bit_count() <= near_copies.RADIUS and root[a] != root[b]:
+            x, y = root[a], root[b]
+            root = {n: x if r == y else r for n, r in root.items()}
+    groups = {frozenset(n for n in root if root[n] == r) for r in root.values()}
+    found = {}
+    for r in seen[0]:
+        found.setdefault(r.key, set()).add(r.fp)
+    assert {frozenset(g) for g in found.values()} == {g for g in groups if len(g) > 1} != set()
