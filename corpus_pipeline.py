@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from rowgraft.llm import decontamination, language_id, near_copies, pieces, repeats
 from rowgraft.llm.common import crc_of, documents, durable, free_name, numbered, table
@@ -42,18 +41,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return own.join(gone, rid, "left_anti").drop(rid)
 
 
-@F.pandas_udf(StringType())
-def _as_text(kept):
-    return kept.map(lambda b: b.decode("utf-8", "ignore"))
-
-
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of over 50 words that occur again out of the texts, and repeated 400-byte
     strings of fewer words (and parts of characters cut apart); n_chars follows.  Every document stays, also one that is cut to nothing."""
     rid, kept = free_name(docs, "rid"), free_name(docs, "kept")
     own = numbered(docs, rid)
-    cut = repeats.without_repeats(own.select(F.col(rid).alias("rid"), "text"), words=PASSAGE).where("size(spans) > 0")
-    cut = cut.select(F.col("rid").alias(rid), _as_text("kept").alias(kept))
+    cut = repeats.without_repeats(own.select(F.col(rid).alias("rid"), "text"), words=PASSAGE, as_text=True).where("size(spans) > 0")
+    cut = cut.select(F.col("rid").alias(rid), F.col("kept").alias(kept))
     changed = F.col(kept).isNotNull()
     out = own.join(cut, rid, "left").withColumn("text", F.coalesce(kept, "text"))
     return out.withColumn("n_chars", F.when(changed, F.length(kept)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)

@@ -247,7 +247,7 @@ def _word_span(run: dict, text: bytes, edges: list[np.ndarray], words: int) -> l
     return [[int(edges[0][a, 0]), int(edges[0][b + words - 1, 1])]] if a <= b else []
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None, as_text: bool) -> Iterator[pa.RecordBatch]:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch, texts in slices(batches):
         size, spans, kept = [], [], []
@@ -266,10 +266,13 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, words: int | None) -> I
             size.append(len(text))
             spans.append([{"start": a, "end": b} for a, b in found])
             kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
-        yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["rid", "n_bytes", "spans", "kept"])
+        rest = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+        yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(size, pa.int64()), pa.array(spans, spans_type), rest], ["rid", "n_bytes", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, text_column: str = "text", length: int = LENGTH, gram: int = GRAM, step: int = STEP, words: int | None = None, as_text: bool = False
+) -> DataFrame:
     """One row per row of ``docs`` (which has a column rid, see ``numbered``): rid, n_bytes,
     ``spans`` (byte offsets removed, maximal and in order) and ``kept`` (the other bytes).
 
@@ -282,6 +285,8 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
     With ``words``, every passage of so many words that occurs at another place goes instead,
     whatever its bytes and the blanks between, and of the strings of ``length`` bytes those
     that hold fewer whole words (text without blanks has few).
+
+    With ``as_text``, ``kept`` is text, without the parts of characters cut apart.
     """
     texts = docs.select("rid", F.col(text_column).alias("text"))
     every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words), UNIT))
@@ -294,7 +299,8 @@ def without_repeats(docs: DataFrame, text_column: str = "text", length: int = LE
     done_3 = _repeated(windows, heavy)
     runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "tokens")).alias("runs"))
     met = texts.join(runs, "rid", "left")
-    return met.mapInArrow(lambda b: _cut(b, length, words), "rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    schema = f"rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
+    return met.mapInArrow(lambda b: _cut(b, length, words, as_text), schema)
 
 
 def word_grams(text: bytes, passage: int = PASSAGE, gram: int = WORD_GRAM) -> tuple[np.ndarray, np.ndarray]:

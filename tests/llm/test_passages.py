@@ -90,3 +90,15 @@ def test_rows_of_a_heavy_key_are_not_dealt_by_it_alone(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"hashpartitioning\((.*?), \d+\)", plan)
     assert any("salt" in d for d in dealt) and not re.search(r"SortMergeJoin \[g#\d+L?\], \[g#", plan)
+
+
+def test_kept_as_text_drops_parts_of_characters(spark):
+    """Two texts that share 400 bytes from inside a character on."""
+    shared = "é" * 300
+    rows = [(1, "ũ" + shared[1:] + "x"), (2, "©" + shared[1:] + "y")]
+    docs = spark.createDataFrame(rows, "rid long, text string")
+    as_bytes = {r.rid: bytes(r.kept) for r in repeats.without_repeats(docs).collect()}
+    found = repeats.without_repeats(docs, as_text=True)
+    assert dict(found.dtypes)["kept"] == "string"
+    assert {r.rid: r.kept for r in found.collect()} == {i: b.decode("utf-8", "ignore") for i, b in as_bytes.items()}
+    assert any(b.decode("utf-8", "replace") != b.decode("utf-8", "ignore") for b in as_bytes.values())
