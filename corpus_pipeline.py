@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgraft.llm import decontamination, language_id, near_copies, pieces, repeats
-from rowgraft.llm.common import crc_of, documents, durable, free_name, numbered, table
+from rowgraft.llm.common import crc_of, documents, durable, free_name, numbered, passing, table
 
 #: SQL cannot express learned languages, byte cuts or sampled pieces: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
@@ -36,8 +36,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     groups for what few bits cannot tell; every link is checked.  Documents without words are one group."""
     rid = free_name(docs, "rid")
     own = numbered(docs, rid)
-    groups = near_copies.near_copies(own.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", rid).alias("key"), "text"), "key")
-    gone = groups.where(~F.col("key").eqNullSafe(F.col("component_id"))).select(F.col(f"key.{rid}").alias(rid))
+    with passing(spark) as keep:
+        groups = near_copies.near_copies(own.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", rid).alias("key"), "text"), "key")
+        gone = keep(groups.where(~F.col("key").eqNullSafe(F.col("component_id"))).select(F.col(f"key.{rid}").alias(rid)))
     return own.join(gone, rid, "left_anti").drop(rid)
 
 
@@ -56,8 +57,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten words in a row of a benchmark item, or a whole shorter item."""
     rid = free_name(docs, "rid")
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = durable(found.where("n_hit > 0").select(F.col("rid").alias(rid)))
+    with passing(spark) as keep:
+        found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+        hit = keep(found.where("n_hit > 0").select(F.col("rid").alias(rid)))
     return numbered(docs, rid).join(hit, rid, "left_anti").drop(rid)
 
 

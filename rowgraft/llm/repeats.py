@@ -15,8 +15,9 @@ Passes, from coarse to fine; a group of one drops out after each:
 3. What is left then is sorted window by window.
 
 Groups are formed by digests of 128 bits with partial counts, so a passage that a third of
-the documents have travels as one row per task.  The texts are exchanged once, to meet the
-rows that are left, and that exchange serves passes 2 and 3 and the cutting.
+the documents have travels as one row per task.  Each pass writes its rows once and drops those
+of the pass before, tables and shuffle files.  The texts are exchanged to meet the rows that
+are left, for passes 2 and 3 and for the cutting, one exchange at a time.
 
 Passages of so many words go through the same passes beside the strings, as texts of ``TOKEN``
 bytes a word, the word's hash; the windows that count begin where a word does.
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.llm.common import CHUNK, NOT_BLANK, pieces_of, slices, written
+from rowgraft.llm.common import CHUNK, NOT_BLANK, passing, pieces_of, slices, written
 
 LENGTH = 400
 GRAM = 64
@@ -289,15 +290,21 @@ def without_repeats(
     With ``as_text``, ``kept`` is text, without the parts of characters cut apart.
     """
     texts = docs.select("rid", F.col(text_column).alias("text"))
-    every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words), UNIT))
-    heavy = every.count() // HEAVY + 1
-    units = written(_matching(every, every.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
-    done, left = _sorted_out(units, heavy)
-    steps = _meeting(texts, left).mapInArrow(lambda b: _steps(b, length, step, words), UNIT)
-    done_2, left_2 = _sorted_out(steps, heavy)
-    windows = _meeting(texts, left_2).mapInArrow(lambda b: _windows(b, length, words), UNIT)
-    done_3 = _repeated(windows, heavy)
-    runs = done.unionAll(done_2).unionAll(done_3).groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "tokens")).alias("runs"))
+    with passing(docs.sparkSession) as keep:
+        with passing(docs.sparkSession) as hand_on:
+            every = written(texts.mapInArrow(lambda b: _contexts(b, length, gram, words), UNIT))
+            heavy = every.count() // HEAVY + 1
+            units = hand_on(_matching(every, every.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
+        with passing(docs.sparkSession) as hand_on:
+            done, left = map(hand_on, _sorted_out(units, heavy))
+        with passing(docs.sparkSession) as hand_on:
+            steps = written(_meeting(texts, left).mapInArrow(lambda b: _steps(b, length, step, words), UNIT))
+            done_2, left_2 = map(hand_on, _sorted_out(steps, heavy))
+        with passing(docs.sparkSession) as hand_on:
+            windows = written(_meeting(texts, left_2).mapInArrow(lambda b: _windows(b, length, words), UNIT))
+            done_3 = hand_on(_repeated(windows, heavy))
+        found = done.unionAll(done_2).unionAll(done_3)
+        runs = keep(found.groupBy("rid").agg(F.collect_list(F.struct("first", "windows", "tokens")).alias("runs")))
     met = texts.join(runs, "rid", "left")
     schema = f"rid long, n_bytes long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
     return met.mapInArrow(lambda b: _cut(b, length, words, as_text), schema)
@@ -338,9 +345,10 @@ def shared_words(docs: DataFrame, text_column: str = "text") -> DataFrame:
     words from the first to the last of them, where neighbours are less than 51 words apart: all
     of a long passage but its edges, at least 16 of a short one.
     """
-    grams = written(docs.select("rid", F.col(text_column).alias("text")).mapInArrow(_word_grams, "rid long, at int, g long"))
-    heavy = grams.count() // HEAVY + 1
-    found = _matching(grams, grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy)
+    with passing(docs.sparkSession) as keep:
+        grams = written(docs.select("rid", F.col(text_column).alias("text")).mapInArrow(_word_grams, "rid long, at int, g long"))
+        heavy = grams.count() // HEAVY + 1
+        found = keep(_matching(grams, grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["g"], heavy))
     zero = F.lit(0).cast("long")
     near = lambda s, x: (s["last"] >= 0) & (x - s["last"] < PASSAGE)
     total = F.aggregate(
