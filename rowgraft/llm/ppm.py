@@ -33,6 +33,10 @@ from pyspark.sql import functions as F
 from rowgraft.llm.common import NOT_BLANK, numbered, slices, words_of, written
 
 ORDER = 5
+#: Bits of a 64-bit key that a string leaves: room for a count or a text's number beside it, so that
+#: one sort of the keys brings equal strings together and nothing else has to follow.
+SPARE = np.uint64(64 - 8 * (ORDER + 1))
+MOST = np.uint64((1 << int(SPARE)) - 1)
 #: Documents of a block, as a power of two.
 BLOCK_BITS = 13
 LEAST_BUCKETS = 64
@@ -44,20 +48,55 @@ def tokens_text(text: bytes) -> bytes:
     return END * ORDER + b" ".join(text.lower().split()) + END
 
 
-def _strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The string of ORDER + 1 bytes that ends at each byte of the texts, its last byte lowest,
-    and where each text's strings begin."""
+def _laid(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """The texts as the model reads them, end to end, and their sizes."""
     laid = [tokens_text(t) for t in texts]
-    data = np.frombuffer(b"".join(laid), np.uint8).astype(np.uint64)
-    packed = data.copy()
-    for k in range(1, ORDER + 1):
-        packed[k:] |= data[:-k] << np.uint64(8 * k)
-    size = np.array([len(x) for x in laid])
-    end = np.cumsum(size)
+    return b"".join(laid), np.fromiter(map(len, laid), np.int64, len(laid))
+
+
+def _strings(laid: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The string of ORDER + 1 bytes that ends at each byte of the texts, its last byte lowest,
+    and how many strings each text has."""
+    packed, held = np.frombuffer(laid, np.uint8).astype(np.uint64), 1
+    while held <= ORDER:  # those that lie ``more`` bytes before, over what both hold
+        more = min(held, ORDER + 1 - held)
+        packed[more:] |= packed[:-more] << np.uint64(8 * more)
+        held += more
+    begin = np.cumsum(size) - size
     inside = np.ones(len(packed), bool)
     for k in range(ORDER):
-        inside[end - size + k] = False
-    return packed[inside], end - size - np.arange(len(size)) * ORDER
+        inside[begin + k] = False
+    return packed[inside], size - ORDER
+
+
+def _first(ascending: np.ndarray) -> np.ndarray:
+    """Where each distinct value of ascending ones begins."""
+    new = np.ones(len(ascending), bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _distinct(grams: np.ndarray) -> np.ndarray:
+    grams = np.sort(grams)
+    return grams[_first(grams)]
+
+
+def _with_counts(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Keys of strings and counts; a count too large for a key is told by several."""
+    keys = grams << SPARE
+    if len(n) and n.max() > MOST:
+        keys = np.r_[keys | n % MOST, np.repeat(keys | MOST, (n // MOST).astype(np.int64))]
+    else:
+        keys |= n
+    return keys
+
+
+def _tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct strings of the keys, ascending, and their counts summed."""
+    keys.sort()
+    grams = keys >> SPARE
+    first = _first(grams)
+    return grams[first], np.add.reduceat(keys & MOST, first)
 
 
 def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
@@ -70,6 +109,8 @@ def _word_bucket(words: list[bytes], buckets: int) -> np.ndarray:
 
 def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions in order) of each bucket that has any."""
+    if len(bucket) and bucket.max() < 1 << 16:
+        bucket = bucket.astype(np.uint16)  # numpy sorts these digit by digit
     order = np.argsort(bucket, kind="stable")
     for a, b in _runs(bucket[order]):
         yield int(bucket[order[a]]), order[a:b]
@@ -88,21 +129,24 @@ def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         m = len(bucket)
         given = zip((total, grams, words, n), (pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.binary()))
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * m, pa.int32()), pa.array([block] * m, pa.int64()), pa.array(bucket, pa.int64()), *[pa.nulls(m, t) if x is None else pa.array(x, t) for x, t in given]], names
+            [pa.array([kind] * m, pa.int32()), pa.array([block] * m, pa.int64()), pa.array(bucket, pa.int64()), *[pa.nulls(m, t) if x is None else x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in given]], names
         )
 
     def told(block: int, parts: list) -> Iterator[pa.RecordBatch]:
-        grams, at = np.unique(np.concatenate([k for k, _, _ in parts]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([c for _, c, _ in parts])).astype(np.uint32)
+        grams, n = _tallied(np.concatenate([k for k, _ in parts]))
+        n = n.astype(np.uint32)
         pairs = np.bincount((grams & np.uint64(0xFFFF)).astype(np.int64), n, 1 << 16).astype(np.int64)
         code = np.flatnonzero(pairs)
         yield rows(PAIRS, block, code, total=pairs[code])
         dealt = list(_dealt(_bucket(grams, buckets)))
         yield rows(GRAMS, block, [k for k, _ in dealt], grams=[np.diff(grams[i], prepend=np.uint64(0)).tobytes() for _, i in dealt], n=[n[i].tobytes() for _, i in dealt])
-        summed = pa.concat_tables([w for _, _, w in parts]).group_by("word").aggregate([("n", "sum")]).sort_by("word")
-        words, n = summed["word"].to_pylist(), summed["n_sum"].to_numpy().astype(np.uint32)
-        for k, i in _dealt(_word_bucket(words, buckets)):
-            yield rows(WORDS, block, [k], words=[[words[x] for x in i.tolist()]], n=[n[i].tobytes()])
+        summed = pa.concat_tables([w for _, w in parts]).group_by("word").aggregate([("n", "sum")]).sort_by("word")
+        words, n = summed["word"].combine_chunks(), summed["n_sum"].to_numpy().astype(np.uint32)
+        dealt = list(_dealt(_word_bucket(words.to_pylist(), buckets)))
+        if dealt:
+            ends = np.cumsum([0, *[len(i) for _, i in dealt]])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(np.concatenate([i for _, i in dealt]))))
+            yield rows(WORDS, block, [k for k, _ in dealt], words=listed, n=[n[i].tobytes() for _, i in dealt])
 
     block, parts = None, []
     for batch, texts in slices(batches):
@@ -112,13 +156,12 @@ def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
                 yield from told(block, parts)
                 parts = []
             block, own, counts = int(blocks[s]), texts[s:e], learned[s:e]
-            grams, begin = _strings(own)
-            weight = np.repeat(counts, np.diff(np.r_[begin, len(grams)]))
-            seen, at = np.unique(grams, return_inverse=True)
+            grams, m = _strings(*_laid(own))
+            seen = _tallied(_with_counts(grams, np.repeat(counts.astype(np.uint64), m)))
             words, each = words_of(own, NOT_BLANK)
             coded = words.dictionary_encode()
             n = np.bincount(coded.indices.to_numpy(), np.repeat(counts, each), len(coded.dictionary)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
-            parts.append((seen, np.bincount(at, weight), pa.table([coded.dictionary, pa.array(n)], names=["word", "n"])))
+            parts.append((_with_counts(*seen), pa.table([coded.dictionary, pa.array(n)], names=["word", "n"])))
     if parts:
         yield from told(block, parts)
 
@@ -209,36 +252,6 @@ def _predict(group: pa.Table, pairs: np.ndarray, buckets: int) -> pa.Table:
     return pa.table({"gram": grams, "bucket": _bucket(grams.view(np.uint64), buckets), "logp": log_probabilities(grams, group["n"].to_numpy(), pairs)})
 
 
-class Answers:
-    """Values by string, in an open-addressing table so that a lookup is a few gathers."""
-
-    def __init__(self, grams: np.ndarray, values: np.ndarray):
-        bits = max(4, int(len(grams) * 4).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.grams, self.values = np.ascontiguousarray(grams).view(np.uint64), values
-        self.table = np.full(1 << bits, -1, np.int32)
-        todo, slot = np.arange(len(grams), dtype=np.int32), self._slot(self.grams)
-        while len(todo):
-            free = self.table[slot] < 0
-            self.table[slot[free]] = todo[free]
-            out = self.table[slot] != todo
-            todo, slot = todo[out], (slot[out] + 1) & self.mask
-
-    def _slot(self, grams: np.ndarray) -> np.ndarray:
-        return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def of(self, grams: np.ndarray) -> np.ndarray:
-        """Values of strings that are all in the table."""
-        slot = self._slot(grams)
-        at = self.table[slot]
-        wrong = np.flatnonzero(self.grams[at] != grams)
-        while len(wrong):
-            slot[wrong] = (slot[wrong] + 1) & self.mask
-            at[wrong] = self.table[slot[wrong]]
-            wrong = wrong[self.grams[at[wrong]] != grams[wrong]]
-        return self.values[at]
-
-
 def _put_back(bucket: np.ndarray, answers: dict[int, bytes], kind) -> np.ndarray:
     """Answers in the order of the keys, which were asked bucket by bucket."""
     values = np.zeros(len(bucket), kind)
@@ -253,22 +266,31 @@ def _score(docs: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     told: dict[int, dict[int, bytes]] = {GRAMS: {}, WORDS: {}}
     for kind, bucket, found in zip(*(answers[c].to_pylist() for c in ("kind", "bucket", "found"))):
         told[kind][bucket] = found
-    seen, listed = [], []
-    for batch, texts in slices(iter(docs.to_batches())):
-        seen.append(np.unique(_strings(texts)[0]))
-        listed.append(pa.table([words_of(texts, NOT_BLANK)[0].unique()], names=["word"]))
-    grams, words = np.unique(np.concatenate(seen)), pa.concat_tables(listed).group_by("word").aggregate([]).sort_by("word")["word"]
-    model = Answers(grams, _put_back(_bucket(grams, buckets), told[GRAMS], np.float32))
-    counts = _put_back(_word_bucket(words.to_pylist(), buckets), told[WORDS], np.uint32)
-    words, out = words.combine_chunks(), []
+    seen, listed, held = [], [], []
     for batch, texts in slices(iter(docs.to_batches())):
-        own, begin = _strings(texts)
-        score = np.add.reduceat(model.of(own).astype(float), begin)
-        found, each = words_of(texts, NOT_BLANK)
-        coded = found.dictionary_encode()
-        c = counts[pc.index_in(coded.dictionary, words).to_numpy(zero_copy_only=False)][coded.indices.to_numpy()] if len(found) else np.zeros(0)
-        text = np.repeat(np.arange(len(texts)), each)
-        out.append((batch["rid"].to_numpy(), each.astype(np.int64), np.bincount(text, c > 0, len(texts)).astype(np.int64), np.bincount(text, np.log10(c + 0.5), len(texts)), score))
+        laid, size = _laid(texts)
+        seen.append(_distinct(_strings(laid, size)[0]))
+        words, each = words_of(texts, NOT_BLANK)
+        coded = words.dictionary_encode()
+        listed.append(coded.dictionary)
+        held.append((batch["rid"].to_numpy(), laid, size, coded.indices.to_numpy(), each))
+    grams, words = _distinct(np.concatenate(seen)), pa.concat_arrays(listed).dictionary_encode()
+    logp = _put_back(_bucket(grams, buckets), told[GRAMS], np.float32)
+    order = pc.sort_indices(words.dictionary)
+    counts = np.zeros(len(order), np.uint32)
+    counts[order.to_numpy()] = _put_back(_word_bucket(words.dictionary.take(order).to_pylist(), buckets), told[WORDS], np.uint32)
+    known, logs = counts > 0, np.log10(counts + 0.5)
+    codes, out = np.split(words.indices.to_numpy(), np.cumsum([len(x) for x in listed])[:-1]), []
+    for (rid, laid, size, coded, each), code in zip(held, codes):
+        own, m = _strings(laid, size)
+        keys = own << SPARE | np.repeat(np.arange(len(size), dtype=np.uint64), m)  # a block's texts fit beside the string
+        keys.sort()
+        own = keys >> SPARE
+        first = _first(own)
+        found = np.repeat(logp[np.searchsorted(grams, own[first])], np.diff(np.r_[first, len(own)]))
+        score = np.bincount((keys & MOST).astype(np.int64), found, len(size))
+        code, text = code[coded], np.repeat(np.arange(len(size)), each)
+        out.append((rid, each.astype(np.int64), np.bincount(text, known[code], len(size)).astype(np.int64), np.bincount(text, logs[code], len(size)), score))
     return pa.table([pa.array(np.concatenate(x)) for x in zip(*out)], names=["rid", "n_words", "n_known", "words_log", "score"])
 
 
