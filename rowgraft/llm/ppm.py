@@ -290,7 +290,7 @@ def _score(docs: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
         found = np.repeat(logp[np.searchsorted(grams, own[first])], np.diff(np.r_[first, len(own)]))
         score = np.bincount((keys & MOST).astype(np.int64), found, len(size))
         code, text = code[coded], np.repeat(np.arange(len(size)), each)
-        out.append((rid, each.astype(np.int64), np.bincount(text, known[code], len(size)).astype(np.int64), np.bincount(text, logs[code], len(size)), score))
+        out.append((rid, each.astype(np.int64), np.bincount(text, known[code], len(size)).astype(np.int64), np.bincount(text, logs[code], len(size)).astype(float), score))
     return pa.table([pa.array(np.concatenate(x)) for x in zip(*out)], names=["rid", "n_words", "n_known", "words_log", "score"])
 
 

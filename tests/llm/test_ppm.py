@@ -74,3 +74,10 @@ def test_counts_of_a_block_also_beyond_what_a_key_holds(rows):
         assert got == {g: n * learned for g, n in want.items()}
         assert found == {w: n * learned for w, n in words.items()}
         assert sum(pairs.values()) == learned * sum(want.values())
+
+
+def test_a_block_of_blank_texts():
+    docs = block_of([None, "", " \n\t"])
+    scored = ppm._score(docs.drop_columns(["learned"]), answers_of(asked_of(docs, 2)), BUCKETS)
+    assert scored.schema.field("words_log").type == pa.float64()
+    assert scored.to_pydict() == {"rid": [0, 1, 2], "n_words": [0] * 3, "n_known": [0] * 3, "words_log": [0.0] * 3, "score": [float(ppm.END[0])] * 3}
