@@ -42,3 +42,11 @@ def test_no_relation_holds_the_exchanges_of_all_its_joins(spark, sf, tables):
     assert joins(found) <= 6
     # Snapshots, lines and the mappings with their entities.
     assert len(tables()) == 3 and found.count() > 0
+
+
+def test_loads_meet_their_tables_in_the_only_join_left(spark, sf, tables):
+    """Entities, texts and ends of references are joined in steps before; besides, tables meet their snapshots."""
+    found = catalog(spark, sf).entity_mapping()
+    assert joins(found) <= 3
+    # Snapshots, lines and loads of three kinds.
+    assert len(tables()) == 5 and found.count() > 0
