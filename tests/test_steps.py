@@ -50,3 +50,10 @@ def test_loads_meet_their_tables_in_the_only_join_left(spark, sf, tables):
     assert joins(found) <= 3
     # Snapshots, lines and loads of three kinds.
     assert len(tables()) == 5 and found.count() > 0
+
+
+def test_attributes_are_tables_without_a_join(spark, sf, tables):
+    """Key columns, plain ones and references are joined kind by kind."""
+    found = catalog(spark, sf).attribute_mapping()
+    assert joins(found) == 0
+    assert len(tables()) == 6 and found.count() > 0
