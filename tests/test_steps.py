@@ -5,7 +5,8 @@ from pathlib import Path
 import pytest
 
 from rowgraft.operators import skew
-from rowgraft.operators.skew import Steps, ensure_checkpoint_dir
+from rowgraft.operators.skew import Steps, dealt, ensure_checkpoint_dir
+from rowgraft.plans.catalog import attribute_lists
 from suite.catalogs import catalog
 
 
@@ -57,3 +58,16 @@ def test_attributes_are_tables_without_a_join(spark, sf, tables):
     found = catalog(spark, sf).attribute_mapping()
     assert joins(found) == 0
     assert len(tables()) == 6 and found.count() > 0
+
+
+def test_a_list_of_attributes_takes_one_exchange(spark, sf):
+    """Rows are dealt by their mapping once, for the distinct ones and for the lists."""
+    lists = attribute_lists(catalog(spark, sf).load_attributes())
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and lists.count() > 0
+
+
+def test_rows_are_dealt_to_more_tasks_as_they_grow(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few, many = dealt(spark.range(9), ["id"]), dealt(spark.range(9), ["id"], 10_000_000)
+    assert (few.rdd.getNumPartitions(), many.rdd.getNumPartitions()) == (parts, 41)
