@@ -92,8 +92,13 @@ def truthy(value: Column, dtype: T.DataType) -> Column:
 
 def digest(texts: list[Column], separator: str = FIELD_SEPARATOR) -> Column:
     """SHA-256 over texts, a NULL text counting as one NUL byte."""
+    return F.sha2(joined(texts, separator), 256)
+
+
+def joined(texts: list[Column], separator: str = FIELD_SEPARATOR) -> Column:
+    """What the digest of texts is taken of."""
     marked = [F.coalesce(t, F.lit(NULL_MARK)) for t in texts]
-    return F.sha2(F.concat_ws(separator, *marked) if separator else F.concat(*marked), 256)
+    return F.concat_ws(separator, *marked) if separator else F.concat(*marked)
 
 
 def uuid_text(hex32: Column) -> Column:
@@ -110,6 +115,10 @@ def tag_id(concept: Column) -> Column:
     return uuid_text(F.md5(tag_name(concept)))
 
 
+# What property_key leaves as it is.
+VALID_KEY = r"^[A-Za-z][A-Za-z0-9_]*\z"
+
+
 def property_key(key: Column) -> Column:
     """Letters, digits and underscores only, beginning with a letter."""
     clean = F.regexp_replace(key, "[^A-Za-z0-9_]", "_")

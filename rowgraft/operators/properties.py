@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgraft.functions.text import canon, property_key
+from rowgraft.functions.text import VALID_KEY, canon, property_key
 from rowgraft.operators.identity import source_column, source_text
 from rowgraft.specs import AttrSpec
 
@@ -75,8 +75,16 @@ def without_nulls(props: Column) -> Column:
 
 
 def with_valid_keys(props: Column) -> Column:
-    """Keys made valid; of keys that become equal, the later property stays."""
-    entries = F.map_entries(without_nulls(props))
+    """Keys made valid; of keys that become equal, the later property stays.
+
+    Keys are renamed and compared with each other only in maps where one of them is not valid."""
+    given = without_nulls(props)
+    valid = F.forall(F.map_keys(given), lambda k: F.rlike(k, F.lit(VALID_KEY)))
+    return F.when(valid, given).otherwise(_renamed(given))
+
+
+def _renamed(props: Column) -> Column:
+    entries = F.map_entries(props)
     renamed = F.transform(entries, lambda e: F.struct(property_key(e["key"]).alias("key"), e["value"].alias("value")))
     names = F.transform(renamed, lambda e: e["key"])
     last = F.filter(
