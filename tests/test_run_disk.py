@@ -30,6 +30,17 @@ def files(path):
     return [p for p in Path(path).rglob("*.parquet") if p.is_file()]
 
 
+def test_a_full_run_leaves_packed_parts_and_no_shuffle_files(spark, sf, tmp_path, shuffles):
+    relations = {n: table(spark, sf, n) for n in ("customer", "orders", "part", "lineitem", "nation", "region", "supplier")}
+    before = shuffles()
+    store = GraphStore(spark, str(tmp_path / "g"))
+    Pipeline(store, models.ALL, Options(relations=relations)).run_full()
+    assert shuffles() <= before
+    assert all(".zstd." in p.name for p in files(tmp_path / "g" / "data"))
+    staged = spark.read.parquet(next(str(p) for p in Path(tmp_path / "g" / "data").glob("*/stage/m-line-*")))
+    assert "row_hash" not in staged.columns
+
+
 def test_many_changed_rows_are_joined_once_to_their_properties(spark, sf, monkeypatch):
     """Before, heavy keys were counted and the changed rows joined twice, though a key occurs once."""
     monkeypatch.setattr(ch, "is_small", lambda df: False)
