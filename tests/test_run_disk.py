@@ -41,6 +41,26 @@ def test_a_full_run_leaves_packed_parts_and_no_shuffle_files(spark, sf, tmp_path
     assert "row_hash" not in staged.columns
 
 
+def test_ids_made_of_folded_rows_are_the_same(spark, sf):
+    lines = table(spark, sf, "lineitem").where("l_orderkey % 5 = 0")
+    lines = lines.union(lines.limit(3)).withColumn("l_returnflag", F.expr("nullif(l_returnflag, 'N')"))
+    shown = ["id", "from_id", "to_id", "row_hash", "n_rows", F.to_json("props").alias("props")]
+    found = [elements(lines, models.LINE, models.BY_ID, late_ids=late) for late in (False, True)]
+    told = [sorted(map(tuple, df.select(*shown).collect())) for df in found]
+    assert told[0] == told[1] and len(told[0]) < lines.count()
+
+
+def test_ends_are_looked_for_among_other_nodes_last(spark):
+    edges = spark.createDataFrame([("e1", "E", "a", "b", {}), ("e2", "E", "a", "c", {}), ("e3", "E", "d", "b", {})], merge.EDGE_SCHEMA)
+    nodes = lambda *ids: spark.createDataFrame([(i, "N", {}) for i in ids], merge.NODE_SCHEMA)
+    ids = lambda found: {r.id for r in found.ids.collect()}
+    assert ids(merge.absent_endpoints(edges, nodes("a", "b"), nodes("c", "x"))) == {"d"}
+    assert merge.absent_endpoints(edges, nodes("a", "b", "c"), nodes("d")).empty
+    # Where the first have all, the others are not read: this frame would fail.
+    broken = nodes("x").select(F.raise_error(F.lit("read")).cast("string").alias("id"))
+    assert merge.absent_endpoints(edges, nodes("a", "b", "c", "d"), broken).empty
+
+
 def test_many_changed_rows_are_joined_once_to_their_properties(spark, sf, monkeypatch):
     """Before, heavy keys were counted and the changed rows joined twice, though a key occurs once."""
     monkeypatch.setattr(ch, "is_small", lambda df: False)
