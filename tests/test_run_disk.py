@@ -71,3 +71,25 @@ def test_many_changed_rows_are_joined_once_to_their_properties(spark, sf, monkey
     assert sum(line.lstrip(" +-:").startswith("Join ") for line in plan.splitlines()) == 1
     want = {r.id: r.props for r in extract.collect()}
     assert {r.id: r.props for r in found.collect()} == want and found.count() == rows.count()
+
+
+@pytest.mark.parametrize("form", ["gml", "graphml"])
+def test_packed_exports_are_parsed_once_and_leave_no_tables(spark, sf, tmp_path, monkeypatch, form, shuffles):
+    monkeypatch.setattr(graphs, "is_small", lambda df: False)
+    rows = table(spark, sf, "customer")
+    nodes = elements(rows, models.CUSTOMER, models.BY_ID).select("id", "label", "props")
+    edges = nodes.select(F.concat("id", F.lit("~")).alias("id"), F.lit("SELF").alias("label"), F.col("id").alias("from_id"), F.col("id").alias("to_id"), "props")
+    export_graph(form, nodes, edges, str(tmp_path / "x"), compression="gzip")
+    assert not [p for p in (tmp_path / "x").rglob("part-*") if p.suffix != ".gz"]
+    before = set((tmp_path / "x").rglob("part-*")), shuffles()
+    reader = {"gml": graphs.read_gml, "graphml": graphs.read_graphml}[form]
+    read = reader(spark, str(tmp_path / "x"))
+    plan = read[1]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert f"{form[-3:] if form == 'graphml' else 'text'} " not in plan.replace("parquet", "")
+    store = GraphStore(spark, str(tmp_path / "g"))
+    held = shuffles()
+    graphs.import_graph(store, *read, "run")
+    assert shuffles() <= held and set((tmp_path / "x").rglob("part-*")) == before[0]
+    assert not list((tmp_path / "g" / "data").glob("*/stage"))
+    told = lambda df: sorted((r.id, sorted((k, v) for k, v in r.props.items() if v is not None)) for r in df.collect())
+    assert told(store.nodes()) == told(nodes) and told(store.edges()) == told(edges)
