@@ -41,6 +41,16 @@ def test_a_full_run_leaves_packed_parts_and_no_shuffle_files(spark, sf, tmp_path
     assert "row_hash" not in staged.columns
 
 
+def test_the_state_of_a_full_run_is_packed(spark, sf, tmp_path):
+    relations = {"orders": table(spark, sf, "orders")}
+    store = GraphStore(spark, str(tmp_path / "g"))
+    Pipeline(store, [HASHED_ORDER], Options(relations=relations, seed_state=True)).run_full()
+    held = store.head().of("state")[HASHED_ORDER.mapping_id]
+    state = [p for p in (tmp_path / "g" / held.path).glob("part-*")]
+    assert state and all(".zstd." in p.name for p in state)
+    assert store.read("state").where("length(row_hash) = 64").count() == relations["orders"].count()
+
+
 def test_ids_made_of_folded_rows_are_the_same(spark, sf):
     lines = table(spark, sf, "lineitem").where("l_orderkey % 5 = 0")
     lines = lines.union(lines.limit(3)).withColumn("l_returnflag", F.expr("nullif(l_returnflag, 'N')"))
